@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenreef.llm import license_scan, quality_rules, simhash, toxicity
+from lumenreef.llm import license_scan, packing, quality_rules, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
         "op2_quality_rules": op2_quality_rules,
+        "op3_packing": op3_packing,
         "op5_simhash": op5_simhash,
         "op7_toxicity": op7_toxicity,
     }
