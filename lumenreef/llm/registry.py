@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenreef.llm import license_scan, packing, quality_rules, simhash, toxicity
+from lumenreef.llm import license_scan, packing, quality_rules, sentencepiece_bpe, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.encoding_report(_table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -39,6 +43,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": op2_quality_rules,
         "op3_packing": op3_packing,
         "op5_simhash": op5_simhash,
+        "op6_sentencepiece": op6_sentencepiece,
         "op7_toxicity": op7_toxicity,
     }
 
