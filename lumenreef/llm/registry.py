@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenreef.llm import license_scan, packing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity
+from lumenreef.llm import ann_search, license_scan, packing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_search.nearest_report(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_toxicity": op7_toxicity,
+        "op8_ann_search": op8_ann_search,
         "op9_quality_classifier": op9_quality_classifier,
     }
 
