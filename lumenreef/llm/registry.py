@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumenreef.llm import ann_search, license_scan, packing, quality_classifier, quality_rules, sentencepiece_bpe, simhash, toxicity
+from lumenreef.llm import (
+    ann_search,
+    license_scan,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sentencepiece_bpe,
+    simhash,
+    toxicity,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +35,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing_report(_table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.url_report(_table(spark, sf_dir, "pages"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_license_scan": op1_license_scan,
         "op2_quality_rules": op2_quality_rules,
         "op3_packing": op3_packing,
+        "op4_url_filter": op4_url_filter,
         "op5_simhash": op5_simhash,
         "op6_sentencepiece": op6_sentencepiece,
         "op7_toxicity": op7_toxicity,
