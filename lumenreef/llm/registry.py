@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from lumenreef.llm import (
     ann_search,
     license_scan,
+    line_dedup,
     packing,
     quality_classifier,
     quality_rules,
@@ -59,6 +62,14 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(_table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -70,6 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": op7_toxicity,
         "op8_ann_search": op8_ann_search,
         "op9_quality_classifier": op9_quality_classifier,
+        "op10_line_dedup": op10_line_dedup,
+        "pipeline": pipeline,
     }
 
 
