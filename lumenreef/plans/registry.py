@@ -2,5 +2,387 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import tempfile
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumenreef.functions import policy, proposals
+from lumenreef.operators import contacts, history, kpi
+from lumenreef.plans import views
+from lumenreef.sources import catalog as catalogs
+from lumenreef.sources import history as histories
+from lumenreef.streaming import kpi as streams
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+
+# Thresholds for the small runs of the test tables.
+GOAL_EVENTS, GOAL_ORGANISERS = 4, 2
+FEW_ORGANISERS, MANY_EVENTS = 1, 2
+LOW_SCORE = 30
+STAGNANT_AFTER = 5
+ITERATIONS = 15
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that the cluster shares; a temporary one where none is set."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = "file://" + tempfile.mkdtemp(prefix="spark-lumenreef-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+_KPI = """count(*) AS eventos, count(DISTINCT fuente) AS fuentes, count(organizador) AS organizadores, count(email) AS emails"""
+_SCORED = "SELECT *, eventos + organizadores * 2 + emails * 3 + fuentes * 10 AS score FROM"
+
+
+@query(f"WITH {views.CATALOG} {_SCORED} (SELECT {_KPI} FROM cat)")
+def catalog_kpi(spark, sf_dir):
+    return kpi.catalog_kpi(views.catalog(spark, sf_dir))
+
+
+@query(f"WITH {views.CATALOG} {_SCORED} (SELECT count(*) AS eventos, count(DISTINCT fuente) AS fuentes, count(organizador) AS organizadores, 0::BIGINT AS emails FROM cat)")
+def kpi_missing_column(spark, sf_dir):
+    return kpi.catalog_kpi(views.catalog(spark, sf_dir).drop("email"))
+
+
+@query(f"WITH {views.CATALOG} {_SCORED} (SELECT fuente, {_KPI} FROM cat GROUP BY fuente)")
+def kpi_by_source(spark, sf_dir):
+    return kpi.catalog_kpi(views.catalog(spark, sf_dir), ["fuente"])
+
+
+@query(f"WITH {views.ITERATIONS} SELECT run_id, iteracion, eventos, fuentes, organizadores, emails, score FROM it")
+def kpi_by_iteration(spark, sf_dir):
+    return views.iterations(spark, sf_dir)
+
+
+@query(f"WITH {views.ITERATIONS} SELECT run_id, iteracion, organizadores < {FEW_ORGANISERS} AND eventos > {MANY_EVENTS} AS needs FROM it")
+def needs_enrichment(spark, sf_dir):
+    return views.iterations(spark, sf_dir).select("run_id", "iteracion", kpi.needs_enrichment(FEW_ORGANISERS, MANY_EVENTS).alias("needs"))
+
+
+@query(f"WITH {views.ITERATIONS} SELECT run_id, iteracion, eventos, organizadores FROM it WHERE eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS}")
+def goal_reached(spark, sf_dir):
+    rows = views.iterations(spark, sf_dir).where(kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS))
+    return rows.select("run_id", "iteracion", "eventos", "organizadores")
+
+
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, concat_ws(',',
+  CASE WHEN organizadores < {FEW_ORGANISERS} AND eventos > {MANY_EVENTS} THEN 'enrich_events' END,
+  CASE WHEN fuentes < 5 THEN 'add_sources' END, CASE WHEN score < {LOW_SCORE} THEN 'raise_limits' END) AS advice FROM it""")
+def advice_flags(spark, sf_dir):
+    advice = kpi.advice(LOW_SCORE, MANY_EVENTS, FEW_ORGANISERS).alias("advice")
+    return views.iterations(spark, sf_dir).select("run_id", "iteracion", advice)
+
+
+_BEST = """best AS (SELECT *, score > greatest(coalesce(max(score) OVER (PARTITION BY run_id ORDER BY iteracion
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0) AS new_best FROM it)"""
+
+
+@query(f"WITH {views.ITERATIONS}, {_BEST} SELECT run_id, iteracion, score FROM best WHERE new_best")
+def new_best(spark, sf_dir):
+    return history.mark_new_best(views.iterations(spark, sf_dir)).where("new_best").select("run_id", "iteracion", "score")
+
+
+def _with_config(spark, sf_dir) -> DataFrame:
+    """Iteration metrics with the configuration used, where the run has one."""
+    used = policy.trajectory(views.proposals(spark, sf_dir))
+    used = used.withColumn("paises", F.array_join("priorizar_paises", ",")).drop("priorizar_paises")
+    return views.iterations(spark, sf_dir).join(used, ["run_id", "iteracion"])
+
+
+_JOINED = f"{views.TRAJECTORY}, {views.ITERATIONS}, both_ AS (SELECT * FROM it JOIN traj USING (run_id, iteracion))"
+
+
+@query(f"""WITH RECURSIVE {_JOINED} SELECT run_id, iteracion, score, max_eventos, busquedas_facebook, timeout, paises FROM both_
+  WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY score DESC, iteracion) = 1""")
+def best_config(spark, sf_dir):
+    return history.best_row(_with_config(spark, sf_dir), "max_eventos", "busquedas_facebook", "timeout", "paises")
+
+
+@query(f"""WITH {views.ITERATIONS}, m AS (SELECT *,
+    min(CASE WHEN eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS} THEN iteracion END) OVER (PARTITION BY run_id) AS g,
+    min(CASE WHEN eventos = 1 AND emails = 1 THEN iteracion END) OVER (PARTITION BY run_id) AS f
+  FROM it WHERE iteracion <= {ITERATIONS})
+SELECT run_id, iteracion, score FROM m WHERE (g IS NULL OR iteracion <= g) AND (f IS NULL OR iteracion < f)""")
+def history_until_stop(spark, sf_dir):
+    failed = (F.col("eventos") == 1) & (F.col("emails") == 1)  # stands for an iteration that could not be measured
+    kept = history.until_stop(views.iterations(spark, sf_dir), kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS), failed, ITERATIONS)
+    return kept.select("run_id", "iteracion", "score")
+
+
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM (
+  SELECT *, lag(struct_pack(a := max_eventos, b := busquedas_facebook, c := timeout, d := paises)) OVER w AS p,
+         struct_pack(a := max_eventos, b := busquedas_facebook, c := timeout, d := paises) AS q, row_number() OVER w AS n
+  FROM traj WINDOW w AS (PARTITION BY run_id ORDER BY iteracion)) WHERE n > 1 AND q IS DISTINCT FROM p""")
+def config_changes(spark, sf_dir):
+    used = policy.trajectory(views.proposals(spark, sf_dir)).withColumn("paises", F.array_join("priorizar_paises", ","))
+    marked = history.mark_changes(used, "max_eventos", "busquedas_facebook", "timeout", "paises").where("changed")
+    return marked.select("run_id", "iteracion", "max_eventos", "busquedas_facebook", "timeout", "paises")
+
+
+_STAGNATION = f"""{views.ITERATIONS}, {_BEST}, since AS (SELECT *, iteracion - coalesce(last_value(CASE WHEN new_best THEN iteracion END IGNORE NULLS)
+  OVER (PARTITION BY run_id ORDER BY iteracion ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS since_best FROM best)"""
+
+
+@query(f"WITH {_STAGNATION} SELECT run_id, iteracion, since_best, since_best >= {STAGNANT_AFTER} AS stagnant FROM since")
+def stagnation(spark, sf_dir):
+    marked = history.mark_stagnation(views.iterations(spark, sf_dir))
+    return marked.select("run_id", "iteracion", "since_best", (F.col("since_best") >= STAGNANT_AFTER).alias("stagnant"))
+
+
+@query(f"""WITH RECURSIVE {_JOINED} SELECT max_eventos, busquedas_facebook, timeout, paises, count(*) AS n, avg(score) AS avg_score,
+  min(score) AS min_score, max(score) AS max_score FROM both_ GROUP BY ALL""")
+def score_by_config(spark, sf_dir):
+    return history.score_by_config(_with_config(spark, sf_dir), "max_eventos", "busquedas_facebook", "timeout", "paises")
+
+
+@query(f"WITH {views.PROPOSALS} SELECT event_id, span FROM prop")
+def extract_json_span(spark, sf_dir):
+    return views.raw_proposals(spark, sf_dir).select("event_id", proposals.json_span(F.col("respuesta")).alias("span"))
+
+
+@query(f"WITH {views.PROPOSALS} SELECT event_id, accion, parametro, razon, array_to_string(valor_lista, ',') AS valor_lista FROM typed")
+def parse_proposal(spark, sf_dir):
+    parsed = proposals.parse_proposals(views.raw_proposals(spark, sf_dir))
+    return parsed.select("event_id", "accion", "parametro", "razon", F.array_join("valor_lista", ",").alias("valor_lista"))
+
+
+@query(f"WITH {views.PROPOSALS} SELECT event_id, valor_entero FROM typed")
+def parse_int_value(spark, sf_dir):
+    return proposals.parse_proposals(views.raw_proposals(spark, sf_dir)).select("event_id", "valor_entero")
+
+
+@query(f"WITH {views.PROPOSALS} SELECT event_id, clase FROM prop")
+def classify_proposal(spark, sf_dir):
+    return proposals.parse_proposals(views.raw_proposals(spark, sf_dir)).select("event_id", "clase")
+
+
+@query(f"WITH {views.PROPOSALS} SELECT event_id, run_id, respuesta FROM prop WHERE clase = 'NON_OBJECT'")
+def proposal_rejects(spark, sf_dir):
+    parsed = proposals.parse_proposals(views.raw_proposals(spark, sf_dir))
+    return parsed.where(F.col("clase") == proposals.NON_OBJECT).select("event_id", "run_id", "respuesta")
+
+
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion,
+  CASE WHEN organizadores < {FEW_ORGANISERS} AND eventos > {MANY_EVENTS} THEN 'ENRIQUECER_EVENTOS' ELSE 'AUMENTAR_BUSQUEDAS' END AS accion,
+  CASE WHEN organizadores < {FEW_ORGANISERS} THEN 'organizadores' ELSE 'busquedas_facebook' END AS parametro,
+  CASE WHEN organizadores < {FEW_ORGANISERS} THEN 'true' ELSE '80' END AS valor FROM it""")
+def rule_fallback(spark, sf_dir):
+    action, parameter, value = proposals.rule_fallback(FEW_ORGANISERS, MANY_EVENTS)
+    rows = views.iterations(spark, sf_dir)
+    return rows.select("run_id", "iteracion", action.alias("accion"), parameter.alias("parametro"), value.alias("valor"))
+
+
+@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')")
+def config_fold(spark, sf_dir):
+    last = policy.fold(views.proposals(spark, sf_dir))
+    return last.select("run_id", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+
+
+@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
+def config_trajectory(spark, sf_dir):
+    used = policy.trajectory(views.proposals(spark, sf_dir))
+    return used.select("run_id", "iteracion", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+
+
+@query(f"""WITH {views.PROPOSALS} SELECT event_id, array_to_string(list_concat(['P0', 'P9'], list_filter(list_filter(valor_lista,
+  lambda x, i: list_position(valor_lista, x) = i), lambda x: NOT list_contains(['P0', 'P9'], x))), ',') AS paises FROM typed WHERE valor_lista IS NOT NULL""")
+def array_append_distinct(spark, sf_dir):
+    parsed = proposals.parse_proposals(views.raw_proposals(spark, sf_dir)).where("valor_lista IS NOT NULL")
+    merged = proposals.append_distinct(F.array(F.lit("P0"), F.lit("P9")), F.col("valor_lista"))
+    return parsed.select("event_id", F.array_join(merged, ",").alias("paises"))
+
+
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, concat_ws(',', CASE WHEN max_eventos NOT BETWEEN 100 AND 300 THEN 'max_eventos' END,
+  CASE WHEN busquedas_facebook NOT BETWEEN 50 AND 300 THEN 'busquedas_facebook' END,
+  CASE WHEN timeout NOT BETWEEN 20 AND 60 THEN 'timeout' END) AS fuera FROM traj""")
+def config_range_check(spark, sf_dir):
+    return policy.trajectory(views.proposals(spark, sf_dir)).select("run_id", "iteracion", policy.range_violations().alias("fuera"))
+
+
+@query(f"""WITH {_STAGNATION} SELECT run_id, iteracion, concat_ws(',',
+  CASE WHEN eventos < 2 THEN 'raise_searches+add_countries+enable_contacts' END,
+  CASE WHEN eventos > {MANY_EVENTS} AND organizadores < {FEW_ORGANISERS} THEN 'improve_extraction+search_groups' END,
+  CASE WHEN since_best >= {STAGNANT_AFTER} THEN 'change_strategy+vary_countries+lower_searches+raise_timeout' END) AS strategy FROM since""")
+def strategy_advice(spark, sf_dir):
+    marked = history.mark_stagnation(views.iterations(spark, sf_dir))
+    advice = kpi.strategy(2, MANY_EVENTS, FEW_ORGANISERS, F.col("since_best") >= STAGNANT_AFTER)
+    return marked.select("run_id", "iteracion", advice.alias("strategy"))
+
+
+@query("""WITH e(source) AS (VALUES ('Goabase'), ('Facebook'), ('Instagram'), ('Songkick'), ('Eventbrite'), ('src0')),
+  n AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source)
+SELECT source, coalesce(n, 0) AS n, e.source IS NOT NULL AS expected FROM n FULL JOIN e USING (source)""")
+def source_coverage(spark, sf_dir):
+    return kpi.source_coverage(views.table(spark, sf_dir, "documents"), "source", (*kpi.KNOWN_SOURCES, "src0"))
+
+
+@query(r"""SELECT 'page' AS kind, page_id AS id, unnest(regexp_extract_all(html, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,})')) AS email FROM pages
+UNION ALL
+SELECT 'document', doc_id, unnest(regexp_extract_all(text, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,})')) FROM documents""")
+def extract_contacts(spark, sf_dir):
+    pages = contacts.emails_in(views.table(spark, sf_dir, "pages"), "page_id", "html")
+    docs = contacts.emails_in(views.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return pages.select(F.lit("page").alias("kind"), F.col("page_id").alias("id"), "email").unionByName(
+        docs.select(F.lit("document").alias("kind"), F.col("doc_id").alias("id"), "email")
+    )
+
+
+_CONTACTS = r"""con AS (SELECT page_id AS event_id, nullif(regexp_extract(html, '&copy; *([^ <]+) ', 1), '') AS organizador,
+  nullif(regexp_extract(html, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,})', 1), '') AS email FROM pages)"""
+
+
+def _contacts(spark, sf_dir) -> DataFrame:
+    pages = views.table(spark, sf_dir, "pages").withColumnRenamed("page_id", "event_id")
+    return contacts.first_contacts(pages, "event_id", "html")
+
+
+@query(f"""WITH {views.CATALOG}, {_CONTACTS} SELECT event_id, fuente, coalesce(cat.organizador, con.organizador) AS organizador,
+  coalesce(cat.email, con.email) AS email FROM cat LEFT JOIN con USING (event_id)""")
+def fill_contacts(spark, sf_dir):
+    return contacts.fill_contacts(views.catalog(spark, sf_dir), _contacts(spark, sf_dir))
+
+
+@query(f"""WITH {views.CATALOG}, {_CONTACTS}, runs AS (SELECT *, event_id % 7 AS run_id FROM cat),
+before AS (SELECT run_id, {_KPI} FROM runs GROUP BY run_id),
+filled AS (SELECT run_id, fuente, CASE WHEN b.organizadores < 20 AND b.eventos > 20 THEN coalesce(r.organizador, con.organizador) ELSE r.organizador END AS organizador,
+  CASE WHEN b.organizadores < 20 AND b.eventos > 20 THEN coalesce(r.email, con.email) ELSE r.email END AS email,
+  b.organizadores < 20 AND b.eventos > 20 AS enriched FROM runs r JOIN before b USING (run_id) LEFT JOIN con USING (event_id))
+{_SCORED} (SELECT run_id, enriched, {_KPI} FROM filled GROUP BY run_id, enriched)""")
+def enrich_then_kpi(spark, sf_dir):
+    runs = views.catalog(spark, sf_dir).withColumn("run_id", F.col("event_id") % 7)
+    return contacts.enrich_then_measure(runs, "run_id", lambda df: contacts.fill_contacts(df, _contacts(spark, sf_dir)), 20, 20)
+
+
+@query(f"""WITH {views.CATALOG} SELECT event_id, fuente, organizador, email, NULL::VARCHAR AS lang FROM cat
+UNION ALL SELECT doc_id, source, NULL, NULL, lang FROM documents""")
+def union_catalogs(spark, sf_dir):
+    docs = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("event_id"), F.col("source").alias("fuente"), "lang")
+    return catalogs.union_catalogs(views.catalog(spark, sf_dir), docs)
+
+
+def _as_csv(spark, df: DataFrame) -> str:
+    return catalogs.write_csv(df, _shared_path(spark, "catalog"), 1)
+
+
+@query(f"WITH {views.CATALOG} SELECT event_id::VARCHAR AS event_id, fuente, organizador, email FROM cat")
+def csv_catalog_scan(spark, sf_dir):
+    return catalogs.scan_csv(spark, _as_csv(spark, views.catalog(spark, sf_dir)))
+
+
+_TOKEN = "CASE event_id % 6 WHEN 0 THEN 'NA' WHEN 1 THEN '#N/A' WHEN 2 THEN ' ' WHEN 3 THEN '-' WHEN 4 THEN 'null' ELSE fuente END"
+
+
+@query(f"WITH {views.CATALOG} {_SCORED} (SELECT count(*) AS eventos, count(DISTINCT nullif(nullif(nullif(t, 'NA'), '#N/A'), 'null')) AS fuentes, count(organizador) AS organizadores, count(email) AS emails FROM (SELECT *, {_TOKEN} AS t FROM cat))")
+def csv_missing_tokens(spark, sf_dir):
+    marked = views.catalog(spark, sf_dir).withColumn("fuente", F.expr(_TOKEN))
+    return kpi.catalog_kpi(catalogs.scan_csv(spark, _as_csv(spark, marked)))
+
+
+@query(f"""WITH {views.CATALOG} SELECT event_id::VARCHAR AS event_id, 'a "b", ' || coalesce(fuente, '') || chr(10) || 'c' AS nota, organizador FROM cat""")
+def csv_catalog_roundtrip(spark, sf_dir):
+    note = F.concat(F.lit('a "b", '), F.coalesce("fuente", F.lit("")), F.lit("\nc"))
+    first = _as_csv(spark, views.catalog(spark, sf_dir).select("event_id", note.alias("nota"), "organizador"))
+    root = first.rpartition("/")[0]
+    return catalogs.scan_csv(spark, catalogs.write_csv(catalogs.scan_csv(spark, first), root, 2))
+
+
+@query(f"WITH {views.ITERATIONS} SELECT run_id, iteracion, eventos, score, 'España,Portugal' AS paises FROM it")
+def history_json_roundtrip(spark, sf_dir):
+    countries = F.array(F.lit("España"), F.lit("Portugal"))
+    config = F.struct(
+        *[F.lit(v).cast("bigint").alias(c) for c, v in (("max_eventos", 100), ("busquedas_facebook", 50), ("timeout", 20))], countries.alias("priorizar_paises")
+    )
+    rows = views.iterations(spark, sf_dir)
+    rows = rows.select("run_id", "iteracion", config.alias("config"), F.struct(*kpi.METRIC_COLUMNS).alias("metricas"))
+    path = _shared_path(spark, "history")
+    histories.write_history(rows, path)
+    back = histories.read_history(spark, path)
+    return back.select("run_id", "iteracion", "metricas.eventos", "metricas.score", F.array_join("config.priorizar_paises", ",").alias("paises"))
+
+
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, '{{"max_eventos":' || max_eventos || ',"busquedas_facebook":' || busquedas_facebook || ',"timeout":' || timeout
+  || ',"priorizar_paises":[' || CASE WHEN paises = '' THEN '' ELSE '"' || replace(paises, ',', '","') || '"' END
+  || '],"extraer_contactos":false,"agregar_fuentes":[],"profundidad_busqueda":3,"buscar_en_grupos":false}}' AS config FROM final
+  WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
+def config_as_json(spark, sf_dir):
+    last = policy.fold(views.proposals(spark, sf_dir))
+    return last.select("run_id", histories.as_json(policy.full_config()).alias("config"))
+
+
+@query(f"WITH {views.CATALOG} SELECT event_id, fuente, organizador, email FROM cat ORDER BY event_id LIMIT 19")
+def catalog_preview(spark, sf_dir):
+    return catalogs.preview(views.catalog(spark, sf_dir), "event_id")
+
+
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, 'Eventos totales: ' || eventos || chr(10) || 'Fuentes activas: ' || fuentes || chr(10)
+  || 'Organizadores extraídos: ' || organizadores || chr(10) || 'Emails extraídos: ' || emails || chr(10) || 'Score: ' || score || chr(10)
+  || 'Propón UNA mejora CONCRETA y responde SOLO en formato JSON con accion, parametro, valor y razon.' AS prompt FROM it""")
+def render_prompt(spark, sf_dir):
+    return views.iterations(spark, sf_dir).select("run_id", "iteracion", proposals.prompt().alias("prompt"))
+
+
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, 'eventos: ' || eventos || ' | organizadores: ' || organizadores || ' | emails: ' || emails
+  || ' | fuentes: ' || fuentes || ' | score: ' || score AS resumen FROM it""")
+def render_summary(spark, sf_dir):
+    return views.iterations(spark, sf_dir).select("run_id", "iteracion", proposals.summary().alias("resumen"))
+
+
+def _stream(spark, sf_dir, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows written in the order of time and read back as a stream, in one or more micro-batches."""
+    path = _shared_path(spark, "stream-in")
+    rows = prepare(views.table(spark, sf_dir, "events"))
+    rows.write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def _drain(spark, stream: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over all that is there and read its table."""
+    path = _shared_path(spark, "stream-out")
+
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
+
+    spark.createDataFrame([], stream.schema).write.parquet(path if mode == "complete" else f"{path}/batch=-1")
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", _shared_path(spark, "stream-state"))
+    writer.foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(path).select(*stream.columns)
+
+
+@query(f"""{_SCORED} (SELECT date_trunc('day', ts) AS inicio, count(*) AS eventos, count(DISTINCT event_type) AS fuentes,
+  count(*) FILTER (event_type = 'signup') AS organizadores, count(*) FILTER (event_type = 'purchase') AS emails FROM events GROUP BY 1)""")
+def stream_kpi(spark, sf_dir):
+    def prepare(events: DataFrame) -> DataFrame:
+        return events.select(
+            F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("fuente"),
+            F.when(F.col("event_type") == "signup", "x").alias("organizador"), F.when(F.col("event_type") == "purchase", "x").alias("email"),
+        )
+
+    done = _drain(spark, streams.windowed_kpi(_stream(spark, sf_dir, prepare)), "complete")
+    return done.withColumn("inicio", F.col("inicio").cast("timestamp_ntz"))
+
+
+@query(ORACLE["new_best"])
+def stream_new_best(spark, sf_dir):
+    path = _shared_path(spark, "stream-in")
+    rows = views.iterations(spark, sf_dir).select("run_id", "iteracion", "score")
+    rows.repartition("run_id").write.parquet(path)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    return _drain(spark, streams.stream_new_best(spark.readStream.schema(rows.schema).parquet(path)), "append")
