@@ -9,10 +9,12 @@ by the ``regex`` library's bounded-error matching, which reports the span.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -90,7 +92,7 @@ class Scanner:
             for j in range(parts):
                 a, b = len(padded) * j // parts, len(padded) * (j + 1) // parts
                 pieces.setdefault(padded[a:b], []).append((k, a))
-            self.patterns.append(regex.compile(f"(?e)(?:{regex.escape(notice.phrase)}){{e<={notice.edits}}}"))
+            self.patterns.append(regex.compile(f"(?e)(?<= )(?=[^ ])(?:{regex.escape(notice.phrase)}){{e<={notice.edits}}}(?<=[^ ])(?= )"))
         self.seeds = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.seeds.add_word(piece, (len(piece), places))
@@ -107,29 +109,24 @@ class Scanner:
             for k, offset in places:
                 starts.setdefault(k, set()).add(end + 1 - size - offset)
         found: list[Hit] = []
+        spaces = np.flatnonzero(np.frombuffer(norm.encode("utf-32-le"), "<u4") == 32) if starts else None
         for k in sorted(starts):
             notice = self.notices[k]
             padded = f" {notice.phrase} "
             exact = sorted(s for s in starts[k] if s >= 0 and norm.startswith(padded, s))
-            found += [self._hit(norm, notice, s + 1, s + len(padded) - 1, 0) for s in exact]
-            taken = set(exact)
-            for a, b in _windows(starts[k] - taken, len(padded), notice.edits, len(norm)):
+            found += [self._hit(spaces, notice, s + 1, s + len(padded) - 1, 0) for s in exact]
+            for a, b in _windows(starts[k].difference(exact), len(padded), notice.edits, len(norm)):
                 for m in self.patterns[k].finditer(norm, a, b):
                     s, e = m.span()
-                    while s < e and norm[s] == " ":
-                        s += 1
-                    while e > s and norm[e - 1] == " ":
-                        e -= 1
-                    edges = s < e and norm[s - 1] == " " and norm[e] == " "
-                    if edges and not any(x < e and s < x + len(padded) - 1 for x in taken):
-                        edits = sum(m.fuzzy_counts)
-                        found.append(self._hit(norm, notice, s, e, edits))
+                    before = bisect_left(exact, e) - 1  # the last exact place that starts before the end
+                    if before < 0 or s >= exact[before] + len(padded) - 1:
+                        found.append(self._hit(spaces, notice, s, e, sum(m.fuzzy_counts)))
         return found
 
     @staticmethod
-    def _hit(norm: str, notice: Notice, start: int, end: int, edits: int) -> Hit:
-        first = norm.count(" ", 0, start) - 1
-        return Hit(notice, first, first + norm.count(" ", start, end), edits)
+    def _hit(spaces: np.ndarray, notice: Notice, start: int, end: int, edits: int) -> Hit:
+        first, last = np.searchsorted(spaces, [start, end]).tolist()
+        return Hit(notice, first - 1, last - 1, edits)
 
 
 def _windows(starts: Iterable[int], size: int, edits: int, length: int) -> Iterator[tuple[int, int]]:

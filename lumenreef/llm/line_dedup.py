@@ -247,10 +247,13 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     come last in the order, and those of them with one text count as one document.
     Of several rows with one doc_id and other texts, the smaller text hash comes first.
     """
-    keyed = _keyed(docs)
-    gone = materialise(removals(docs, min_words), "gone")
+    # Other columns get plain names on the way, so none can clash with those made here.
+    own = docs.columns
+    names = [n if n in ("doc_id", "text") else f"extra_{k}" for k, n in enumerate(own)]
+    plain = docs.toDF(*names)
+    keyed = _keyed(plain)
+    gone = materialise(removals(plain, min_words), "gone")
     hit = _some(keyed, gone).join(gone, ["_at", "_t"], "left")
-    names = docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -262,11 +265,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(names)
 
-    changed = hit.mapInArrow(cut, docs.schema)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.length("text").cast(kind))
-    return changed.unionByName(_some(keyed, gone, inside=False).select(docs.columns))
+    changed = hit.mapInArrow(cut, plain.schema)
+    if "n_chars" in own:
+        length = names[own.index("n_chars")]
+        changed = changed.withColumn(length, F.length("text").cast(plain.schema[length].dataType))
+    return changed.unionByName(_some(keyed, gone, inside=False).select(names)).toDF(*own)
 
 
 def dedup_report(docs: DataFrame) -> DataFrame:

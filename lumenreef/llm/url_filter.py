@@ -139,7 +139,7 @@ def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     spark = labels.sparkSession
     known = spark.createDataFrame([(w, SEED_COUNT) for w in (*SEEDS, *NAME_WORDS)], "word string, n long")
     words = words.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
-    total = max(2, words.agg(F.sum("n")).first()[0])
+    total = max(2, words.agg(F.sum("n")).first()[0] or 0)
     short = labels.where(F.length("label") <= LONGEST_LABEL)
     starts = short.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("i"))
     sized = starts.select("label", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("i") + 1))).alias("k"))
