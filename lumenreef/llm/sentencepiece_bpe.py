@@ -25,22 +25,31 @@ from lumenreef.llm._arrow import slices, texts_of
 
 SPACE = "▁"
 #: Entries of each of a task's two segment memories; the older one goes when the newer is full.
-MEMORY = 200_000
+MEMORY = 300_000
 #: Segments longer than this are not remembered, and their matches are found in blocks.
 LONG = 64
 _BLOCK = 4096
+_NONE = float("-inf")
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 
-def merged(text: str, scores: dict[str, float]) -> list[str]:
-    """Plain merging: again and again the best-scored neighbours, the leftmost of equals."""
-    parts = list(text)
-    while len(parts) > 1:
-        pairs = [(-scores[p], k) for k in range(len(parts) - 1) if (p := parts[k] + parts[k + 1]) in scores]
-        if not pairs:
-            break
-        k = min(pairs)[1]
+def merged(text: str, scores: dict[str, float], border: int = 0) -> list[str] | None:
+    """Plain merging: again and again the best-scored neighbours, the leftmost of equals.
+
+    With a ``border`` the result is None as soon as a merge would cross that place.
+    """
+    parts, get = list(text), scores.get
+    ranks = [get(a + b, _NONE) for a, b in zip(parts, parts[1:])]
+    while ranks and (best := max(ranks)) != _NONE:
+        k = ranks.index(best)
+        if border and sum(map(len, parts[: k + 1])) == border:
+            return None
         parts[k : k + 2] = [parts[k] + parts[k + 1]]
+        del ranks[k]
+        if k < len(ranks):
+            ranks[k] = get(parts[k] + parts[k + 1], _NONE)
+        if k:
+            ranks[k - 1] = get(parts[k - 1] + parts[k], _NONE)
     return parts
 
 
@@ -57,6 +66,13 @@ class BpeModel:
     unknown: int
     reachable: frozenset[str] = frozenset()
     texts: list[bytes | None] = field(default_factory=list)
+    _codec: Codec | None = None
+
+    def codec(self) -> Codec:
+        """The process's codec for this model: later tasks of a worker find its memories filled."""
+        if self._codec is None:
+            self._codec = Codec(self)
+        return self._codec
 
     @classmethod
     def load(cls, path: str | None = None) -> BpeModel:
@@ -101,7 +117,7 @@ class Codec:
         if fits is None:
             if len(self._fits) > MEMORY:
                 self._fits.clear()
-            fits = self._fits[key] = merged(a + b, self.model.scores) == [a, b]
+            fits = self._fits[key] = merged(a + b, self.model.scores, len(a)) is not None
         return fits
 
     def _matches(self, text: str):
@@ -129,8 +145,19 @@ class Codec:
         """Pieces of a text in which every character is a piece."""
         if text in self.model.reachable:
             return [text]
-        matches, fits = self._matches(text), self._fits
-        end = len(text)
+        fits = self._fits
+        greedy = [piece for _, piece in self.automaton.iter_long(text)]
+        before = greedy[0]
+        for piece in greedy[1:]:
+            ok = fits.get((before, piece))
+            if ok is None:
+                ok = self.compatible(before, piece)
+            if not ok:
+                break
+            before = piece
+        else:
+            return greedy  # the longest matches fit at once
+        matches, end = self._matches(text), len(text)
         failed = bytearray(end // 8 + 1)  # a bit for each place without a way on
         out: list[str] = []
         before, at = "", 0
@@ -242,7 +269,7 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     shared = _codecs(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = shared.value.codec()
         for batch in slices(batches):
             ids = pa.array([codec.encode(t) for t in texts_of(batch)], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, "ids"])
@@ -256,7 +283,7 @@ def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:
     shared = _codecs(encoded.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = shared.value.codec()
         for batch in slices(batches):
             texts = pa.array([codec.decode(ids or []) for ids in batch.column("ids").to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "decoded"])
@@ -275,7 +302,7 @@ def encoding_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     shared = _codecs(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(shared.value)
+        codec = shared.value.codec()
         for batch in slices(batches):
             columns = zip(*[codec.digest(t) for t in texts_of(batch)])
             arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.string(), pa.string()))]
