@@ -23,11 +23,11 @@ from pyspark.sql import functions as F
 
 from lumenreef.llm._scratch import materialise
 
-PROJECTIONS = 128
-THRESHOLD = 77
-CERTAINTY = 0.98
+PROJECTIONS = 64
+THRESHOLD = 28
+CERTAINTY = 0.92
 #: Factor by which windows widen, and the first half-width as a share of the common length.
-WIDEN, FIRST = 1.4, 0.4
+WIDEN, FIRST = 1.2, 0.6
 #: Vectors of an index block and queries of a query block, on average.
 BLOCK_ROWS, QUERY_ROWS = 8192, 512
 
@@ -54,45 +54,67 @@ class BlockIndex:
         self.directions = rng.normal(size=(PROJECTIONS, vectors.shape[1] + 1))
         rest = np.sqrt(np.maximum(0, length**2 - (vectors**2).sum(1)))
         values = self.directions[:, :-1] @ vectors.T + self.directions[:, -1:] * rest
-        self.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
+        self.order = np.argsort(values, axis=1, kind="stable")
         self.sorted = np.take_along_axis(values, self.order, axis=1)
         self.reach = needed_width()
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the best ``k`` verified vectors, best first, ties to the smaller id."""
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query its id, and ids and scores of the best ``k`` verified vectors.
+
+        Best first, ties to the smaller id. All queries widen along one ladder of
+        widths, so a window's ends are looked up once for a projection and all queries.
+        """
+        centres = self.directions[:, :-1] @ queries.T
+        ends: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def window(level: int) -> tuple[float, np.ndarray, np.ndarray]:
+            width = FIRST * self.length * WIDEN**level
+            if level == len(ends):
+                low = np.stack([np.searchsorted(row, c - width, "left") for row, c in zip(self.sorted, centres)], axis=1)
+                high = np.stack([np.searchsorted(row, c + width, "right") for row, c in zip(self.sorted, centres)], axis=1)
+                ends.append((low, high))
+            return width, *ends[level]
+
+        for number, (query_id, query) in enumerate(zip(query_ids.tolist(), queries)):
+            yield query_id, *self._search_one(query_id, query, k, number, window)
+
+    def _search_one(self, query_id: int, query: np.ndarray, k: int, number: int, window) -> tuple[np.ndarray, np.ndarray]:
         n = len(self.ids)
-        own = self.ids == query_id
-        centre = self.directions[:, :-1] @ query
-        left = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centre)])
-        right = left.copy()
         counts = np.zeros(n, np.int64)
-        verified = own.copy()
+        verified = self.ids == query_id
         rows, scores = np.empty(0, np.int64), np.empty(0)
-        width = FIRST * self.length
         square = float(query @ query) + self.length**2
+        level = 0
+        before = None
         while True:
-            a = [np.searchsorted(row, c - width, "left") for row, c in zip(self.sorted, centre)]
-            b = [np.searchsorted(row, c + width, "right") for row, c in zip(self.sorted, centre)]
-            new = [x for o, l, r, l0, r0 in zip(self.order, a, b, left, right) for x in (o[l:l0], o[r0:r])]
+            width, low, high = window(level)
+            now = low[number].tolist(), high[number].tolist()
+            if before is None:
+                new = [o[a:b] for o, a, b in zip(self.order, *now)]
+            else:
+                new = [x for o, a, b, a0, b0 in zip(self.order, *now, *before) for x in (o[a:a0], o[b0:b])]
+            before = now
             counts += np.bincount(np.concatenate(new), minlength=n)
-            left, right = np.minimum(left, a), np.maximum(right, b)
             met = np.flatnonzero((counts >= THRESHOLD) & ~verified)
             verified[met] = True
-            rows, scores = np.concatenate([rows, met]), np.concatenate([scores, self.vectors[met] @ query])
+            found = self.vectors[met] @ query
+            if len(rows) >= k:  # most of the new ones are no better than the worst held
+                better = found >= scores[-1]
+                met, found = met[better], found[better]
+            rows, scores = np.concatenate([rows, met]), np.concatenate([scores, found])
             if len(rows) > k:
-                best = np.lexsort((self.ids[rows], -scores))[:k]
-                rows, scores = rows[best], scores[best]
-            if verified.all():
-                break
-            ahead = WIDEN * width
+                near = scores >= np.partition(scores, -k)[-k]
+                rows, scores = rows[near], scores[near]
+            best = np.lexsort((self.ids[rows], -scores))[:k]
+            rows, scores = rows[best], scores[best]
+            level += 1
             if len(rows) >= k:
                 goal = self.reach * math.sqrt(max(0.0, square - 2 * float(scores.min())))
                 if width >= goal:
                     break
-                ahead = min(ahead, goal)
-            width = ahead
-        best = np.lexsort((self.ids[rows], -scores))
-        return self.ids[rows[best]], scores[best]
+            if verified.all():
+                break
+        return self.ids[rows], scores
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -157,8 +179,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
                     held = row["block"], row["dim"]
                     of = BlockIndex(np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["vectors"], "<f8").reshape(-1, row["dim"]), length)
                 asked_vectors = np.frombuffer(row["q_vectors"], "<f8").reshape(-1, row["dim"])
-                for query_id, query in zip(np.frombuffer(row["q_ids"], "<i8").tolist(), asked_vectors):
-                    ids, scores = of.search(query_id, query, k)
+                for query_id, ids, scores in of.search(np.frombuffer(row["q_ids"], "<i8"), asked_vectors, k):
                     if len(ids):
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query_id)), pa.array(ids), pa.array(scores)], names=["query_id", "vec_id", "score"])
 
