@@ -87,8 +87,8 @@ def append_distinct(current: Column, new: Column) -> Column:
 
 
 PROMPT = (
-    "Eventos totales: %d\nFuentes activas: %d\nOrganizadores extraídos: %d\nEmails extraídos: %d\nScore: %d\n"
-    "Propón UNA mejora CONCRETA y responde SOLO en formato JSON con accion, parametro, valor y razon."
+    "Última medición: eventos=%d, fuentes=%d, organizadores=%d, emails=%d, score=%d.\n"
+    "Contesta con un objeto JSON de cuatro claves: accion, parametro, valor, razon."
 )
 
 

@@ -332,9 +332,9 @@ def catalog_preview(spark, sf_dir):
     return catalogs.preview(views.catalog(spark, sf_dir), "event_id")
 
 
-@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, 'Eventos totales: ' || eventos || chr(10) || 'Fuentes activas: ' || fuentes || chr(10)
-  || 'Organizadores extraídos: ' || organizadores || chr(10) || 'Emails extraídos: ' || emails || chr(10) || 'Score: ' || score || chr(10)
-  || 'Propón UNA mejora CONCRETA y responde SOLO en formato JSON con accion, parametro, valor y razon.' AS prompt FROM it""")
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, 'Última medición: eventos=' || eventos || ', fuentes=' || fuentes
+  || ', organizadores=' || organizadores || ', emails=' || emails || ', score=' || score || '.' || chr(10)
+  || 'Contesta con un objeto JSON de cuatro claves: accion, parametro, valor, razon.' AS prompt FROM it""")
 def render_prompt(spark, sf_dir):
     return views.iterations(spark, sf_dir).select("run_id", "iteracion", proposals.prompt().alias("prompt"))
 
