@@ -20,6 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -53,15 +54,20 @@ def half_keys(words: list[bytes]) -> list[int]:
         p = n // 2
         keys.append(xxhash.xxh64_intdigest(b" ".join(words[:p]), 2 * n))
         keys.append(xxhash.xxh64_intdigest(b" ".join(words[len(words) - (n - p) :]), 2 * n + 1))
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
+    return keys
 
 
-def variants(words: list[bytes]) -> list[tuple[int, bytes]]:
-    """(place of the deleted word, hash of what is left); place -1 is the line itself."""
-    found = [(-1, xxhash.xxh128_digest(b" ".join(words), 7))]
-    for i in range(len(words)):
-        found.append((i, xxhash.xxh128_digest(b" ".join(words[:i] + words[i + 1 :]), 7)))
-    return found
+def variants(line: bytes) -> list[bytes]:
+    """Hashes of a line of single-spaced words: of itself, then without its first word, and so on."""
+    found = [xxhash.xxh128_digest(line, 7)]
+    start = 0
+    while True:
+        end = line.find(b" ", start)
+        if end < 0:
+            found.append(xxhash.xxh128_digest(line[: max(0, start - 1)], 7))
+            return found
+        found.append(xxhash.xxh128_digest(line[:start] + line[end + 1 :], 7))
+        start = end + 1
 
 
 def within_one(a: list[bytes], b: list[bytes]) -> bool:
@@ -117,15 +123,20 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for at, t, text in zip(batch.column("_at").to_pylist(), batch.column("_t").to_pylist(), texts_of(batch)):
+            hashes, keys, numbers, counts = [], [], [], []
+            for text in texts_of(batch):
+                before = len(numbers)
                 for k, line in enumerate(text.encode("utf-8", "replace").split(b"\n")):
                     words = line_words(line)
                     if len(words) >= min_words:
-                        out.append((at, t, k, line_hash(words), half_keys(words)))
-            if out:
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["at", "t", "line", "h", "keys"])
+                        hashes.append(line_hash(words))
+                        keys += half_keys(words)
+                        numbers.append(k)
+                counts.append(len(numbers) - before)
+            at, t = (np.repeat(batch.column(c).to_numpy(), counts) for c in ("_at", "_t"))
+            listed = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, 4, dtype=np.int32), np.array(keys, np.uint64).view(np.int64))
+            columns = [pa.array(at), pa.array(t), pa.array(numbers, pa.int32()), pa.array(hashes, pa.binary()), listed]
+            yield pa.RecordBatch.from_arrays(columns, names=["at", "t", "line", "h", "keys"])
 
     return _keyed(docs).select("_at", "_t", "text").mapInArrow(run, _LINE_SCHEMA)
 
@@ -174,48 +185,57 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _some(keyed: DataFrame, wanted: DataFrame, inside: bool = True) -> DataFrame:
-    """The rows of ``keyed`` whose document may be (``inside``) or is not in ``wanted(_at, _t)``."""
-    both = F.xxhash64("_at", "_t")
-    sketch = keyed.sparkSession.sparkContext.broadcast(_sketch(wanted, both))
-    marked, names = keyed.withColumn("_k", both), keyed.columns
+    """The rows of ``keyed`` whose document may be (``inside``) or is not in ``wanted(_at, _t)``.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                flags = _may_have(sketch.value, batch.column("_k").to_numpy())
-                yield batch.filter(pa.array(flags if inside else ~flags)).select(names)
+    Only a hash of the document's name goes to Python, not its text.
+    """
+    name = F.xxhash64("_at", "_t")
+    sketch = keyed.sparkSession.sparkContext.broadcast(_sketch(wanted, name))
 
-    return marked.mapInArrow(run, keyed.schema)
+    @F.pandas_udf("boolean")
+    def listed(values: pd.Series) -> pd.Series:
+        return pd.Series(_may_have(sketch.value, values.to_numpy()) == inside)
+
+    return keyed.where(listed(name))
 
 
 def _alike(texts: DataFrame) -> DataFrame:
     """``h`` of the lines of ``texts`` that have an earlier line within one edit."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 64):
-            out = []
-            columns = (batch.column(c).to_pylist() for c in ("h", "at", "t", "line", "words"))
-            for h, at, t, line, words in zip(*columns):
-                out += [(v, i, at, t, line, h) for i, v in variants(words.split(b" "))]
-            types = [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["v", "i", "at", "t", "line", "h"])
-
-    rows = texts.mapInArrow(emit, "v binary, i int, at long, t long, line int, h binary")
-    rows = materialise(rows.select("v", "i", F.struct("at", "t", "line", "h").alias("own")), "variants")
-    # Only keys with two lines at least matter; the earliest of each place, and of all places.
-    by_place = materialise(rows.groupBy("v", "i").agg(F.min("own").alias("low"), F.count("*").alias("n")), "places")
-    by_key = by_place.groupBy("v").agg(
+        for batch in slices(batches):
+            found = [variants(w) for w in batch.column("words").to_pylist()]
+            counts = [len(v) for v in found]
+            v = np.frombuffer(b"".join(x for row in found for x in row), "<i8").reshape(-1, 2)
+            place = np.arange(len(v)) - np.repeat(np.cumsum(counts) - counts, counts) - 1  # -1: the line itself
+            own = [np.repeat(batch.column(c).to_numpy(), counts) for c in ("at", "t", "line")]
+            columns = [pa.array(x) for x in (v[:, 0].copy(), v[:, 1].copy(), place.astype(np.int32), *own)]
+            yield pa.RecordBatch.from_arrays(columns, names=["v", "w", "i", "at", "t", "line"])
+
+    rows = materialise(texts.mapInArrow(emit, "v long, w long, i int, at long, t long, line int"), "variants")
+    # Most keys have one line; the others are found by a plain count and a bitmap.
+    shared = rows.groupBy("v", "w").count().where("count > 1")
+    sketch = rows.sparkSession.sparkContext.broadcast(_sketch(shared, F.col("v")))
+
+    @F.pandas_udf("boolean")
+    def met_again(values: pd.Series) -> pd.Series:
+        return pd.Series(_may_have(sketch.value, values.to_numpy()))
+
+    few = rows.where(met_again("v")).select("v", "w", "i", F.struct("at", "t", "line").alias("own"))
+    few = materialise(few, "shared-variants")
+    by_place = materialise(few.groupBy("v", "w", "i").agg(F.min("own").alias("low"), F.count("*").alias("n")), "places")
+    by_key = by_place.groupBy("v", "w").agg(
         F.sum("n").alias("n"),
         F.min(F.when(F.col("i") >= 0, F.col("low"))).alias("any"),
         F.min(F.when(F.col("i") < 0, F.col("low"))).alias("self"),
     )
-    met = by_place.join(by_key.where("n > 1").select("v", "any", "self"), "v")
-    met = met.select("v", "i", F.when(F.col("i") < 0, F.col("any")).otherwise(F.least("low", "self")).alias("first"))
-    pairs = rows.join(met.where("first IS NOT NULL"), ["v", "i"]).where(F.col("first") < F.col("own"))
-    pairs = pairs.groupBy(F.col("own.h").alias("h")).agg(F.min("first.h").alias("by")).where("h <> by")
-    words = texts.select("h", "words")
-    paired = pairs.join(words, "h").join(words.select(F.col("h").alias("by"), F.col("words").alias("by_words")), "by")
+    met = by_place.join(by_key.where("n > 1").select("v", "w", "any", "self"), ["v", "w"])
+    met = met.select("v", "w", "i", F.when(F.col("i") < 0, F.col("any")).otherwise(F.least("low", "self")).alias("first"))
+    pairs = few.join(met.where("first IS NOT NULL"), ["v", "w", "i"]).where(F.col("first") < F.col("own"))
+    pairs = pairs.groupBy("own").agg(F.min("first").alias("first"))
+    named = texts.select(F.struct("at", "t", "line").alias("own"), "h", "words")
+    by = named.select(F.col("own").alias("first"), F.col("words").alias("by_words"))
+    paired = pairs.join(named, "own").join(by, "first")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
