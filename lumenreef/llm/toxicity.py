@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from lumenreef.llm._arrow import slices, texts_of
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 17  # a power of two
 DIM = 4
 NGRAMS = (3, 4, 5)
 #: Bound on the training rows of either class (the documented sample bound).
@@ -34,7 +34,7 @@ RATE = 3.0
 #: A bucket seen in fewer training texts keeps a zero embedding.
 MIN_TEXTS = 8
 #: Entries of a task's word cache; a full cache is emptied, results do not change.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _KEEP = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
@@ -47,10 +47,15 @@ def words_of(text: str) -> list[bytes]:
 
 
 def buckets_of(word: bytes) -> list[int]:
-    """Buckets of a word's n-grams and of the whole word."""
+    """Buckets of a word's character n-grams and of the whole word."""
+    crc, mask = zlib.crc32, BUCKETS - 1
+    if word.isascii():  # bytes are characters
+        b = b"<" + word + b">"
+        bag = [crc(b[i : i + n]) & mask for n in NGRAMS for i in range(len(b) - n + 1)]
+        return [*bag, crc(b + b"#") & mask]
     w = f"<{word.decode('utf-8', 'replace')}>"
-    grams = [w[i : i + n] for n in NGRAMS for i in range(len(w) - n + 1)]
-    return [zlib.crc32(g.encode()) % BUCKETS for g in [*grams, w + "#"]]
+    bag = [crc(w[i : i + n].encode()) & mask for n in NGRAMS for i in range(len(w) - n + 1)]
+    return [*bag, crc(f"{w}#".encode()) & mask]
 
 
 @dataclass(frozen=True)
@@ -60,12 +65,13 @@ class ToxicityModel:
     weights: np.ndarray
     bias: float
 
-    def word_logit(self, word: bytes) -> float:
-        return self.bias + float(self.weights[buckets_of(word)].mean())
-
     def scorer(self):
-        """A function text -> probability, with a bounded cache of words' odds."""
-        odds: dict[bytes, float] = {}
+        """A function text -> probability, with a bounded memory of words' odds.
+
+        The memory belongs to the process, so later tasks of a worker find it filled.
+        """
+        table = self.__dict__.setdefault("_table", self.weights.tolist())
+        odds: dict[bytes, float] = self.__dict__.setdefault("_odds", {})
 
         def score(text: str) -> float:
             if len(odds) > CACHE_WORDS:
@@ -74,7 +80,9 @@ class ToxicityModel:
             for w in set(words_of(text)):
                 o = odds.get(w)
                 if o is None:
-                    o = odds[w] = math.exp(min(30.0, self.word_logit(w)))
+                    bag = buckets_of(w)
+                    mean = sum([table[k] for k in bag]) / len(bag)
+                    o = odds[w] = math.exp(min(30.0, self.bias + mean))
                 total += o
             return total / (1.0 + total)
 
