@@ -28,7 +28,7 @@ BUCKETS = 1 << 17  # a power of two
 DIM = 4
 NGRAMS = (3, 4, 5)
 #: Bound on the training rows of either class (the documented sample bound).
-SAMPLE_PER_CLASS = 2000
+SAMPLE_PER_CLASS = 1500
 EPOCHS = 60
 RATE = 3.0
 #: A bucket seen in fewer training texts keeps a zero embedding.
