@@ -11,13 +11,21 @@ Lines that cannot have a partner emit nothing: of two alike lines one half (of t
 shorter one's length) is untouched, so a line goes on only if it shares the hash of
 a half with another line. This filter loses no partner.
 
-A line is removed if an earlier line, by doc_id and then line number, equals it or is
-alike. Lines with fewer than ``MIN_WORDS`` words always stay.
+A line of several sentences takes part as a whole and also in units: sentences, short
+ones joined with the next, long ones cut after words chosen by their hash. So the
+number of edits grows with the line, and a passage that stands in longer lines meets
+itself. Whole lines and units meet each other.
+
+A line or unit is removed if an earlier one, by doc_id, line number and then unit (the
+whole line first), equals it or is alike. Of a line that loses units the rest stays.
+Those with fewer than ``MIN_WORDS`` words always stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,6 +38,12 @@ from lumenreef.llm._arrow import slices, texts_of
 from lumenreef.llm._scratch import materialise
 
 MIN_WORDS = 8
+#: Words after which a unit without a sentence end is cut at the next chosen word; at twice as many it ends anywhere.
+UNIT_WORDS = 40
+#: One in so many words is chosen for a cut.
+CUT_EVERY = 8
+#: A place in a document is (line number << UNIT_BITS) + unit; unit 0 is the whole line.
+UNIT_BITS = 24
 #: Bits of the bitmaps that tell tasks which rows may take part in a join; the
 #: size is fixed, and rows let through in error are dropped by the join itself.
 SKETCH_BITS = 1 << 24
@@ -40,6 +54,61 @@ def line_words(line: bytes) -> list[bytes]:
     return line.lower().split()
 
 
+_ENDS = tuple(e + q for e in (b".", b"!", b"?", "…".encode(), "。".encode()) for q in (b"", b'"', b"'", b")", "”".encode(), "»".encode()))
+
+
+def units(words: list[bytes], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """First and end word of each unit of a line, without the line itself and what equals it but for one word.
+
+    A unit ends with the first sentence that gives it ``min_words`` words, so two
+    lines that hold one passage are cut alike after its first sentence of that length.
+    """
+    n = len(words)
+    if n < min_words + 2:
+        return []
+    ends = [k for k, w in enumerate(words, 1) if w.endswith(_ENDS)]
+    found, start = [], 0
+    for end in [*ends, n]:
+        while end - start > UNIT_WORDS:
+            stop = min(end, start + 2 * UNIT_WORDS)
+            at = next((k for k in range(start + UNIT_WORDS, stop) if zlib.crc32(words[k - 1]) % CUT_EVERY == 0), stop)
+            found.append((start, at))
+            start = at
+        if end - start >= min_words:
+            found.append((start, end))
+            start = end
+    return [(a, b) for a, b in found if n - (b - a) > 1]
+
+
+def parts(line: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, list[bytes]]]:
+    """Number and words of the line (0) and of its units (1 and on)."""
+    words = line_words(line)
+    return [(0, words), *((k, words[a:b]) for k, (a, b) in enumerate(units(words, min_words), 1))]
+
+
+def without(text: str, gone: Iterable[int], min_words: int = MIN_WORDS) -> str:
+    """``text`` without the lines and units at the places ``gone``."""
+    lost: dict[int, set[int]] = {}
+    for place in gone:
+        lost.setdefault(place >> UNIT_BITS, set()).add(place & ((1 << UNIT_BITS) - 1))
+    kept = []
+    for k, line in enumerate(text.split("\n")):
+        mine = lost.get(k, ())
+        if 0 in mine:
+            continue
+        if mine:
+            raw = line.encode("utf-8", "replace")
+            starts = [m.start() for m in re.finditer(rb"\S+", raw)] + [len(raw)]
+            cuts = [(starts[a], starts[b]) for i, (a, b) in enumerate(units(line_words(raw), min_words), 1) if i in mine]
+            for a, b in reversed(cuts):
+                raw = raw[:a] + raw[b:] if b < len(raw) else raw[:a].rstrip()
+            if not raw.strip():
+                continue
+            line = raw.decode()
+        kept.append(line)
+    return "\n".join(kept)
+
+
 def line_hash(words: list[bytes]) -> bytes:
     return xxhash.xxh128_digest(b" ".join(words), 1)
 
@@ -115,11 +184,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_at": _order(F.col("doc_id")), "_t": F.xxhash64("doc_id", "text")})
 
 
-_LINE_SCHEMA = "at long, t long, line int, h binary, keys array<long>"
+_LINE_SCHEMA = "at long, t long, line long, h binary, keys array<long>"
 
 
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row for each line that takes part."""
+    """One row for each line or unit that takes part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -127,15 +196,15 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
             for text in texts_of(batch):
                 before = len(numbers)
                 for k, line in enumerate(text.encode("utf-8", "replace").split(b"\n")):
-                    words = line_words(line)
-                    if len(words) >= min_words:
-                        hashes.append(line_hash(words))
-                        keys += half_keys(words)
-                        numbers.append(k)
+                    for unit, words in parts(line, min_words):
+                        if len(words) >= min_words:
+                            hashes.append(line_hash(words))
+                            keys += half_keys(words)
+                            numbers.append((k << UNIT_BITS) + unit)
                 counts.append(len(numbers) - before)
             at, t = (np.repeat(batch.column(c).to_numpy(), counts) for c in ("_at", "_t"))
             listed = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, 4, dtype=np.int32), np.array(keys, np.uint64).view(np.int64))
-            columns = [pa.array(at), pa.array(t), pa.array(numbers, pa.int32()), pa.array(hashes, pa.binary()), listed]
+            columns = [pa.array(at), pa.array(t), pa.array(numbers, pa.int64()), pa.array(hashes, pa.binary()), listed]
             yield pa.RecordBatch.from_arrays(columns, names=["at", "t", "line", "h", "keys"])
 
     return _keyed(docs).select("_at", "_t", "text").mapInArrow(run, _LINE_SCHEMA)
@@ -159,11 +228,11 @@ def _possible(firsts: DataFrame) -> DataFrame:
     return exploded.join(shared, "key", "left_semi").select("h", "first").distinct()
 
 
-_WORD_SCHEMA = "h binary, at long, t long, line int, words binary"
+_WORD_SCHEMA = "h binary, at long, t long, line long, words binary"
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The normalised text of each line in ``wanted(h, first)``."""
+def _texts(docs: DataFrame, wanted: DataFrame, min_words: int) -> DataFrame:
+    """The normalised text of each line or unit in ``wanted(h, first)``."""
     asked = wanted.groupBy(F.col("first.at").alias("_at"), F.col("first.t").alias("_t"))
     asked = materialise(asked.agg(F.collect_list("first.line").alias("asked")), "asked")
     some = _some(_keyed(docs).select("_at", "_t", "text"), asked)
@@ -173,12 +242,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             out = []
             columns = (batch.column(c).to_pylist() for c in ("_at", "_t", "asked"))
             for at, t, asked_lines, text in zip(*columns, texts_of(batch)):
+                asked_lines = set(asked_lines)
                 lines = text.encode("utf-8", "replace").split(b"\n")
-                for k in set(asked_lines):
-                    words = line_words(lines[k])
-                    out.append((line_hash(words), at, t, k, b" ".join(words)))
+                for k in {place >> UNIT_BITS for place in asked_lines}:
+                    for unit, words in parts(lines[k], min_words):
+                        if (k << UNIT_BITS) + unit in asked_lines:
+                            out.append((line_hash(words), at, t, (k << UNIT_BITS) + unit, b" ".join(words)))
             if out:
-                types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+                types = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=["h", "at", "t", "line", "words"])
 
     return some.join(asked, ["_at", "_t"]).mapInArrow(run, _WORD_SCHEMA).dropDuplicates(["h"])
@@ -212,7 +283,7 @@ def _alike(texts: DataFrame) -> DataFrame:
             columns = [pa.array(x) for x in (v[:, 0].copy(), v[:, 1].copy(), place.astype(np.int32), *own)]
             yield pa.RecordBatch.from_arrays(columns, names=["v", "w", "i", "at", "t", "line"])
 
-    rows = materialise(texts.mapInArrow(emit, "v long, w long, i int, at long, t long, line int"), "variants")
+    rows = materialise(texts.mapInArrow(emit, "v long, w long, i int, at long, t long, line long"), "variants")
     # Most keys have one line; the others are found by a plain count and a bitmap.
     shared = rows.groupBy("v", "w").count().where("count > 1")
     sketch = rows.sparkSession.sparkContext.broadcast(_sketch(shared, F.col("v")))
@@ -247,11 +318,11 @@ def _alike(texts: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``_at, _t, gone``: the numbers of the lines to remove, for documents that lose any."""
+    """``_at, _t, gone``: the places of the lines and units to remove, for documents that lose any."""
     lines = materialise(_lines(docs, min_words), "lines")
     place = F.struct("at", "t", "line")
     firsts = materialise(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("keys").alias("keys")), "firsts")
-    texts = materialise(_texts(docs, _possible(firsts)), "texts")
+    texts = materialise(_texts(docs, _possible(firsts), min_words), "texts")
     alike = materialise(_alike(texts), "alike").withColumn("dead", F.lit(True))
     fate = firsts.select("h", "first").join(alike, "h", "left")
     gone = lines.select("h", "at", "t", "line").join(fate, "h").where(F.col("dead") | (F.col("first") != place))
@@ -259,7 +330,7 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the repeated and alike lines cut out of ``text``.
+    """``docs`` with the repeated and alike lines and units cut out of ``text``.
 
     All rows and columns stay, also where no line is left (an empty text); a column
     ``n_chars`` is set to the new length. Null texts stay null. Rows with one doc_id and
@@ -280,8 +351,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             texts = batch.column("text").to_pylist()
             for k, lost in enumerate(batch.column("gone").to_pylist()):
                 if lost:
-                    drop = set(lost)
-                    texts[k] = "\n".join(x for j, x in enumerate(texts[k].split("\n")) if j not in drop)
+                    texts[k] = without(texts[k], lost, min_words)
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type)).select(names)
 
