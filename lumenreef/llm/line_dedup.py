@@ -18,7 +18,8 @@ itself. Whole lines and units meet each other.
 
 A line or unit is removed if an earlier one, by doc_id, line number and then unit (the
 whole line first), equals it or is alike. Of a line that loses units the rest stays.
-Those with fewer than ``MIN_WORDS`` words always stay.
+Units need ``MIN_WORDS`` words. Whole lines of fewer, where one word would be too loose
+a bound, take part as exact copies from ``exact_words`` words on.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ from lumenreef.llm._arrow import slices, texts_of
 from lumenreef.llm._scratch import materialise
 
 MIN_WORDS = 8
+#: Words from which a line takes part as an exact copy in the registered query and the pipeline.
+EXACT_WORDS = 1
 #: Words after which a unit without a sentence end is cut at the next chosen word; at twice as many it ends anywhere.
 UNIT_WORDS = 40
 #: One in so many words is chosen for a cut.
@@ -187,23 +190,25 @@ def _keyed(docs: DataFrame) -> DataFrame:
 _LINE_SCHEMA = "at long, t long, line long, h binary, keys array<long>"
 
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """One row for each line or unit that takes part."""
+def _lines(docs: DataFrame, min_words: int, exact_words: int) -> DataFrame:
+    """One row for each line or unit that takes part; without ``keys`` if as an exact copy only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, keys, numbers, counts = [], [], [], []
+            hashes, keys, ends, numbers, counts = [], [], [0], [], []
             for text in texts_of(batch):
                 before = len(numbers)
                 for k, line in enumerate(text.encode("utf-8", "replace").split(b"\n")):
                     for unit, words in parts(line, min_words):
-                        if len(words) >= min_words:
+                        loose = len(words) >= min_words
+                        if loose or len(words) >= exact_words:
                             hashes.append(line_hash(words))
-                            keys += half_keys(words)
+                            keys += half_keys(words) if loose else ()
+                            ends.append(len(keys))
                             numbers.append((k << UNIT_BITS) + unit)
                 counts.append(len(numbers) - before)
             at, t = (np.repeat(batch.column(c).to_numpy(), counts) for c in ("_at", "_t"))
-            listed = pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, 4, dtype=np.int32), np.array(keys, np.uint64).view(np.int64))
+            listed = pa.ListArray.from_arrays(np.array(ends, np.int32), np.array(keys, np.uint64).view(np.int64))
             columns = [pa.array(at), pa.array(t), pa.array(numbers, pa.int64()), pa.array(hashes, pa.binary()), listed]
             yield pa.RecordBatch.from_arrays(columns, names=["at", "t", "line", "h", "keys"])
 
@@ -223,7 +228,7 @@ def _possible(firsts: DataFrame) -> DataFrame:
                 flags = _may_have(sketch.value, column.flatten().to_numpy()).reshape(batch.num_rows, -1)
                 yield batch.filter(pa.array(flags.any(axis=1)))
 
-    some = firsts.mapInArrow(near, firsts.schema)
+    some = firsts.where(F.size("keys") > 0).mapInArrow(near, firsts.schema)
     exploded = some.select("h", "first", F.explode("keys").alias("key"))
     return exploded.join(shared, "key", "left_semi").select("h", "first").distinct()
 
@@ -317,9 +322,9 @@ def _alike(texts: DataFrame) -> DataFrame:
     return paired.select("h", "words", "by_words").mapInArrow(verify, "h binary")
 
 
-def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def removals(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int = MIN_WORDS) -> DataFrame:
     """``_at, _t, gone``: the places of the lines and units to remove, for documents that lose any."""
-    lines = materialise(_lines(docs, min_words), "lines")
+    lines = materialise(_lines(docs, min_words, exact_words), "lines")
     place = F.struct("at", "t", "line")
     firsts = materialise(lines.groupBy("h").agg(F.min(place).alias("first"), F.first("keys").alias("keys")), "firsts")
     texts = materialise(_texts(docs, _possible(firsts), min_words), "texts")
@@ -329,9 +334,10 @@ def removals(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return gone.groupBy(F.col("at").alias("_at"), F.col("t").alias("_t")).agg(F.collect_set("line").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, exact_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the repeated and alike lines and units cut out of ``text``.
 
+    Lines of ``exact_words`` to ``min_words`` - 1 words go if they equal an earlier line.
     All rows and columns stay, also where no line is left (an empty text); a column
     ``n_chars`` is set to the new length. Null texts stay null. Rows with one doc_id and
     text are one document, so repeated rows lose the same lines; rows without doc_id
@@ -343,7 +349,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     names = [n if n in ("doc_id", "text") else f"extra_{k}" for k, n in enumerate(own)]
     plain = docs.toDF(*names)
     keyed = _keyed(plain)
-    gone = materialise(removals(plain, min_words), "gone")
+    gone = materialise(removals(plain, min_words, exact_words), "gone")
     hit = _some(keyed, gone).join(gone, ["_at", "_t"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +371,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def dedup_report(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, n_lines, n_kept (lines after), text (what is left)."""
     before = F.when(F.col("text").isNotNull(), F.size(F.split("text", "\n"))).otherwise(0).cast("long")
-    return dedup_lines(docs.select("doc_id", "text", before.alias("n_lines"))).select(
+    return dedup_lines(docs.select("doc_id", "text", before.alias("n_lines")), exact_words=EXACT_WORDS).select(
         "doc_id",
         "n_lines",
         F.when(F.length("text") > 0, F.size(F.split("text", "\n"))).otherwise(0).cast("long").alias("n_kept"),

@@ -65,3 +65,14 @@ def test_units_are_bounded_and_never_the_line():
         found = line_dedup.units(words)
         assert all(line_dedup.MIN_WORDS <= b - a <= 2 * line_dedup.UNIT_WORDS and len(words) - (b - a) > 1 for a, b in found)
         assert all(x[1] <= y[0] for x, y in zip(found, found[1:]))
+
+
+def test_short_lines_go_as_exact_copies(spark):
+    rng = random.Random(4)
+    short = ["Home", "home ", "About us", "about", "one two three four five six seven", "one two three four five six eight", "", " "]
+    rows = [(d, "\n".join(rng.choice([*short, sentence(rng, 9)]) for _ in range(rng.randint(0, 6)))) for d in range(60)]
+    report = line_dedup.dedup_report(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: r.text for r in report} == brute(rows, exact_words=1)
+    left = [w for r in report for x in r.text.split("\n") if (w := tuple(x.lower().split()))]
+    assert len(left) == len(set(left))
+    assert sum(w in {("home",), ("about",), ("about", "us")} for w in left) == 3
