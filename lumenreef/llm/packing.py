@@ -13,6 +13,7 @@ among the pieces of the same length.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 import zlib
@@ -43,9 +44,13 @@ class Tokenizer:
 
     ``tiktoken`` runs the same vocabulary several times faster; it takes the texts
     whose characters both libraries classify alike, and ``tokenizers`` the rest.
+
+    With ``added_tokens`` a text that holds the content of one of the vocabulary's added
+    tokens (``<|endoftext|>``) gets that token's id, as from the library when loaded;
+    without, the content is split like other text.
     """
 
-    def __init__(self, json_path: str | None = None, ranks_path: str | None = None) -> None:
+    def __init__(self, json_path: str | None = None, ranks_path: str | None = None, added_tokens: bool = False) -> None:
         import public_tokenizers
         import tiktoken
 
@@ -55,19 +60,25 @@ class Tokenizer:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._slow = None
+        self._split_added = not added_tokens
+        self._added = None
+        if added_tokens:
+            with open(self._json, encoding="utf-8") as f:
+                contents = [t["content"] for t in json.load(f).get("added_tokens") or []]
+            self._added = re.compile("|".join(map(re.escape, contents))) if contents else None
 
     def ids(self, text: str) -> list[int]:
-        if _PLAIN.fullmatch(text):
+        if _PLAIN.fullmatch(text) and not (self._added and self._added.search(text)):
             return self._fast.encode_ordinary(text)
         if self._slow is None:
             from tokenizers import Tokenizer as Library
 
             self._slow = Library.from_file(self._json)
-            self._slow.encode_special_tokens = True
+            self._slow.encode_special_tokens = self._split_added
         return self._slow.encode(text, add_special_tokens=False).ids
 
 
-def token_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def token_pieces(docs: DataFrame, window: int = WINDOW, added_tokens: bool = False) -> DataFrame:
     """Pieces of at most ``window`` tokens of each document, end id included.
 
     ``block`` and ``rank``: the task that made the piece, and the piece's place among
@@ -76,7 +87,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = "block long, doc_id long, start long, length int, rank long, doc_tokens long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer()
+        tokenizer = Tokenizer(added_tokens=added_tokens)
         block = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for batch in slices(batches):
@@ -255,15 +266,16 @@ def plan_packing(histogram: Mapping[int, int], window: int = WINDOW) -> Plan:
 PACKED_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
-def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """One row for each piece: its ids and its place in a sequence.
 
     Sequences hold ``window`` tokens, but for at most log2(window) last ones, whose
     lengths are powers of two; none needs padding. Null and empty texts are one
     end id. Repeated rows are packed each; an empty table gives no rows. Without
     ``with_ids`` the column ``ids`` is left out, and only its checksum stays.
+    ``added_tokens``: see ``Tokenizer``.
     """
-    pieces = materialise(token_pieces(docs, window), "pieces")
+    pieces = materialise(token_pieces(docs, window, added_tokens), "pieces")
     counts = materialise(pieces.groupBy("block", "length").count(), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(plan_packing(histogram, window))
@@ -291,5 +303,5 @@ def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataFr
 
 
 def packing_report(docs: DataFrame) -> DataFrame:
-    """One row for each piece, with the checksum of its ids."""
-    return pack(docs, with_ids=False)
+    """One row for each piece, with the checksum of its ids, which are those of the library as loaded."""
+    return pack(docs, with_ids=False, added_tokens=True)
