@@ -19,16 +19,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenreef.llm._arrow import slices, texts_of
+from lumenreef.llm._scratch import materialise
 
 BUCKETS = 1 << 17  # a power of two
 DIM = 4
 NGRAMS = (3, 4, 5)
 #: Bound on the training rows of either class (the documented sample bound).
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 2000
 EPOCHS = 60
 RATE = 3.0
 #: A bucket seen in fewer training texts keeps a zero embedding.
@@ -97,7 +99,7 @@ class _Mean:
         self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.inverse = (1.0 / sizes).astype(np.float32)[:, None]
         order = np.argsort(index, kind="stable")
-        self.back_row = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.back_row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
         self.back_key, self.back_start = np.unique(index[order], return_index=True)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
@@ -109,26 +111,42 @@ class _Mean:
         return out
 
 
+def word_id(word: bytes) -> int:
+    return xxhash.xxh64_intdigest(word) - (1 << 63)
+
+
 def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, seed: int = 11) -> ToxicityModel:
+    """``fit`` on texts."""
+    docs, bags = [], {}
+    for t in texts:
+        ids = {word_id(w): w for w in words_of(t)}
+        bags.update((k, buckets_of(w)) for k, w in ids.items() if k not in bags)
+        docs.append(np.array(sorted(ids), np.int64))
+    order = sorted(bags)
+    return fit(docs, labels, np.array(order, np.int64), [np.array(bags[k], np.int32) for k in order], epochs, seed)
+
+
+def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, bags: list[np.ndarray], epochs: int = EPOCHS, seed: int = 11) -> ToxicityModel:
     """Fit embeddings and softmax jointly by full-batch momentum descent.
 
     Steps are scaled by one number for each parameter block, so that rare
     n-grams move less than those that many texts share. With no rows, one class
     only, or no words, the weights are zero and the bias is the smoothed log-odds.
+
+    ``docs`` has the ids of each text's distinct words, ``vocabulary`` all ids in
+    order and ``bags`` their buckets.
     """
     y = np.asarray(labels, np.int64)
     n1 = int(y.sum())
-    vocabulary: dict[bytes, int] = {}
-    docs = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in sorted(set(words_of(t)))], np.int64) for t in texts]
-    if n1 in (0, len(y)) or not vocabulary:
+    docs = [np.searchsorted(vocabulary, d).astype(np.int32) for d in docs]
+    if n1 in (0, len(y)) or not len(vocabulary):
         return ToxicityModel(np.zeros(BUCKETS, np.float32), math.log((n1 + 0.5) / (len(y) - n1 + 0.5)))
-    bags = [np.array(buckets_of(w), np.int64) for w in vocabulary]
     in_texts = np.zeros(BUCKETS, np.int64)
     for d in docs:
         if len(d):
             in_texts[np.unique(np.concatenate([bags[k] for k in d]))] += 1
     used = np.flatnonzero(in_texts >= MIN_TEXTS)
-    place = np.full(BUCKETS, len(used))  # the last row stays zero
+    place = np.full(BUCKETS, len(used), np.int32)  # the last row stays zero
     place[used] = np.arange(len(used))
     to_word = _Mean(place[np.concatenate(bags)], np.array([len(b) for b in bags]), len(used) + 1)
 
@@ -175,8 +193,8 @@ def remainder(modulus: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows, per_class: int) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``per_class`` labelled rows of either class.
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows, per_class: int) -> DataFrame:
+    """``doc_id, y, text`` of at most ``per_class`` labelled rows of either class.
 
     ``rows`` is the condition on ``doc_id`` for a row to be learnt from. Ids are
     taken in the order of a hash; rows without id or label are passed over, of
@@ -190,14 +208,37 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows, per_cl
     ]
     chosen = F.broadcast(picks[0].unionByName(picks[1]))  # at most 2 * per_class rows
     found = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id")
-    first = found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
-    return [(r.text, r.y) for r in sorted(first.collect(), key=lambda r: r.doc_id)]
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y"))
+
+
+def hashed_sample(sample: DataFrame) -> tuple[list[np.ndarray], list[int], np.ndarray, list[np.ndarray]]:
+    """The arguments of ``fit`` for ``sample(doc_id, y, text)``; texts and words stay on the executors."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = [{word_id(w): w for w in words_of(t)} for t in texts_of(batch)]
+            ids = pa.array([sorted(w) for w in words], pa.list_(pa.int64()))
+            listed = pa.array([[w[k] for k in sorted(w)] for w in words], pa.list_(pa.binary()))
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("y").cast(pa.int32()), ids, listed]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "ids", "words"])
+
+    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            bags = pa.array([np.array(buckets_of(w), "<i4").tobytes() for w in batch.column("word").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), bags], names=["id", "bag"])
+
+    kept = materialise(sample.select("doc_id", "y", "text").mapInArrow(split, "doc_id long, y int, ids array<long>, words array<binary>"), "sample")
+    rows = kept.select("doc_id", "y", "ids").toArrow().sort_by("doc_id")
+    docs = [x.values.to_numpy() for x in rows["ids"]]
+    pairs = kept.select(F.explode(F.arrays_zip("ids", "words")).alias("p")).select(F.col("p.ids").alias("id"), F.col("p.words").alias("word"))
+    found = pairs.groupBy("id").agg(F.min("word").alias("word")).mapInArrow(bag, "id long, bag binary").toArrow().sort_by("id")
+    bags = [np.frombuffer(x.as_buffer(), "<i4") for x in found["bag"]]
+    return docs, rows["y"].to_pylist(), found["id"].to_numpy(), bags
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> ToxicityModel:
     """Train on a bounded sample of the labelled rows with crc32(doc_id) mod 5 not 0."""
-    sample = training_sample(docs, labels, "toxic", remainder(5) != 0, per_class)
-    return train([t for t, _ in sample], [y for _, y in sample])
+    return fit(*hashed_sample(training_sample(docs, labels, "toxic", remainder(5) != 0, per_class)))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:

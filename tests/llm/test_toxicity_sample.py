@@ -1,0 +1,25 @@
+"""The training sample of the toxicity model: its bound, and arrays instead of texts on the driver."""
+
+import random
+
+import numpy as np
+from lumenreef.llm import toxicity
+from pyspark.sql import functions as F
+
+
+def test_model_from_arrays_is_the_model_from_texts(spark):
+    rng = random.Random(1)
+    words = ["table", "river", "ünï", "stone", "中文", "music", "grumblex"]
+    rows = [(k, " ".join(rng.choice(words[: 6 + k % 2]) for _ in range(30)) if k % 11 else None, k % 2) for k in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    docs_, y, vocabulary, bags = toxicity.hashed_sample(docs)
+    assert vocabulary.dtype == np.int64 and all(b.dtype == np.int32 for b in bags)
+    mine, theirs = toxicity.fit(docs_, y, vocabulary, bags), toxicity.train([t or "" for _, t, _ in rows], [r[2] for r in rows])
+    assert np.array_equal(mine.weights, theirs.weights) and mine.bias == theirs.bias and mine.weights.any()
+
+
+def test_two_thousand_rows_of_a_class_are_learnt_from(spark):
+    docs = spark.range(2100).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    labels = docs.select("doc_id", F.lit(0).alias("toxic"))
+    sample = toxicity.training_sample(docs, labels, "toxic", F.lit(True), toxicity.SAMPLE_PER_CLASS)
+    assert sample.count() == 2000
