@@ -24,9 +24,8 @@ from lumenreef.llm._arrow import slices, texts_of
 from lumenreef.llm._scratch import materialise
 
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words looked up in a label have at most this many characters; labels beyond
-#: the longest that the name system allows stay whole.
-LONGEST_WORD, LONGEST_LABEL = 20, 63
+#: Words looked up in a label have at most this many characters.
+LONGEST_WORD = 20
 SMOOTHING = 0.5
 #: Occurrences that each seed word counts for in the word counts and in the unwanted class.
 SEED_COUNT, SEED_WEIGHT = 1000, 2
@@ -83,7 +82,7 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
 
 
 _TAGS = re.compile(r"<(script|style)\b.*?</\1>|<[^>]*>", re.S | re.I)
-_WORDS = re.compile(r"[^\W\d_]{2,20}")
+_WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,20}(?![^\W\d_])")  # whole words only
 
 
 def page_words(pages: DataFrame, flush: int = 200_000) -> DataFrame:
@@ -140,8 +139,7 @@ def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     known = spark.createDataFrame([(w, SEED_COUNT) for w in (*SEEDS, *NAME_WORDS)], "word string, n long")
     words = words.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
     total = max(2, words.agg(F.sum("n")).first()[0] or 0)
-    short = labels.where(F.length("label") <= LONGEST_LABEL)
-    starts = short.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("i"))
+    starts = labels.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("i"))
     sized = starts.select("label", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("i") + 1))).alias("k"))
     parts = sized.select("label", F.substr("label", F.col("i"), F.col("k")).alias("word")).distinct()
     found = parts.join(words, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("found"))
@@ -151,7 +149,7 @@ def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
             names, out = batch.column("label").to_pylist(), []
             for label, found in zip(names, batch.column("found").to_pylist()):
                 counts = {x["word"]: x["n"] for x in found or []}
-                out.append(segment(label, counts, total) if len(label) <= LONGEST_LABEL else [label])
+                out.append(segment(label, counts, total))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(out, pa.list_(pa.string()))], names=["label", "words"])
 
     return labels.join(found, "label", "left").mapInArrow(run, "label string, words array<string>")
