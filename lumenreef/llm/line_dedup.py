@@ -38,6 +38,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -54,12 +55,16 @@ UNIT_WORDS = 40
 CUT_EVERY = 8
 #: A place in a document is (line number << UNIT_BITS) + unit; unit 0 is the whole line.
 UNIT_BITS = 24
-#: Least and largest number of bits of a bitmap (32 MB), and bits for each value in it.
+#: Least and largest number of bits of a bitmap (32 MB), and bits of its size for each value in it.
 SKETCH_LOW, SKETCH_HIGH, SKETCH_EACH = 1 << 20, 1 << 28, 16
+#: Each value sets the bits that its number names from these places on.
+SKETCH_SHIFTS = (0, 18, 36)
 #: Units (or keys) that a task reduces together before it emits rows.
 CHUNK = 1 << 18
-#: Bytes whose words are hashed in one numpy step.
-BLOCK = 1 << 20
+#: Bytes of a word beyond which it is hashed by itself.
+LONG_WORD = 256
+#: Words for which tables of powers are kept.
+KEPT = 1 << 21
 _LAST = (1 << 63) - 1
 
 
@@ -154,7 +159,6 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 # Hashes of stretches of words.
 
 _U = np.uint64
-_BYTE_BASE = 0x9E3779B97F4A7C15
 _WORD_BASES = (0xD1342543DE82EF93, 0xAF251AF3B0F025B7)
 
 
@@ -176,17 +180,20 @@ class _Powers:
     def __call__(self, n: int, inverse: bool = False) -> np.ndarray:
         table = self.kept[inverse]
         if len(table) < n:
-            steps = np.full(max(n, min(2 * n, BLOCK)), self.bases[inverse], np.uint64)
+            steps = np.full(max(n, min(2 * n, KEPT)), self.bases[inverse], np.uint64)
             steps[0] = 1
             table = np.multiply.accumulate(steps)
-            if n <= 2 * BLOCK:
+            if n <= KEPT:
                 self.kept[inverse] = table
         return table[:n]
 
 
-_BYTES, _WORDS = _Powers(_BYTE_BASE), tuple(map(_Powers, _WORD_BASES))
+_WORDS = tuple(map(_Powers, _WORD_BASES))
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LAST_BYTES = np.zeros(256, bool)
+_LAST_BYTES[[x[-1] for x in (*_STOPS, *_QUOTES)]] = True
 
 
 class Words:
@@ -200,8 +207,10 @@ class Words:
         self.lines_before = np.cumsum([0, *(t.count(b"\n") + 1 for t in raw)])
         self.raw = b"\n".join(raw)
         self.bytes = np.frombuffer(self.raw, np.uint8)
-        edge = np.diff(np.concatenate([[True], _SPACE[self.bytes], [True]]).view(np.int8))
-        self.start, self.end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        space = np.ones(len(self.raw) + 2, bool)
+        space[1:-1] = _SPACE[self.bytes]
+        edges = np.flatnonzero(space[1:] != space[:-1])  # words begin and end by turns
+        self.start, self.end = edges[::2].copy(), edges[1::2].copy()
         self.line = np.searchsorted(np.flatnonzero(self.bytes == 10), self.start)
         self._sums = None
 
@@ -215,16 +224,20 @@ class Words:
         return self._sums
 
     def _word_hashes(self) -> np.ndarray:
-        out, n, i = np.empty(len(self.start), np.uint64), len(self.start), 0
-        while i < n:
-            base = int(self.start[i])
-            j = max(i + 1, int(np.searchsorted(self.end, base + BLOCK, "right")))
-            part = self.bytes[base : int(self.end[j - 1])]
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + _U(1)) * _BYTES(len(part)), dtype=np.uint64)])
-            a, b = self.start[i:j] - base, self.end[i:j] - base
-            out[i:j] = (sums[b] - sums[a]) * _BYTES(len(part), True)[a]
-            i = j
-        return mixed(out)
+        size = self.end - self.start
+        padded = np.frombuffer(self.raw + bytes(8), np.uint8)
+        eight = np.ndarray(len(self.raw) + 1, "<u8", padded.data, strides=(1,))  # the eight bytes from each place on
+        out = mixed(size.astype(np.uint64))
+        left = np.flatnonzero(size <= LONG_WORD)
+        at = self.start[left]
+        while len(left):
+            rest = self.end[left] - at
+            out[left] = mixed(out[left] ^ (eight[at] & _FIRST_BYTES[np.minimum(rest, 8)]))
+            more = rest > 8
+            left, at = left[more], at[more] + 8
+        for k in np.flatnonzero(size > LONG_WORD).tolist():
+            out[k] = xxhash.xxh64_intdigest(self.raw[self.start[k] : self.end[k]])
+        return out
 
     def hashes(self, first: np.ndarray, end: np.ndarray, k: int = 0) -> np.ndarray:
         """The ``k``-th hash of each stretch."""
@@ -236,34 +249,34 @@ class Words:
         sums, back = self.sums[k], _WORDS[k](len(self.sums[k]) + 1, True)
         return (sums[gone] - sums[first]) * back[first] + (sums[end] - sums[gone + 1]) * back[first + 1]
 
-    def ends_sentence(self) -> np.ndarray:
-        """For each word, whether a sentence ends with it."""
-        padded = np.concatenate([np.zeros(6, np.uint8), self.bytes])
-        at = self.end + 6  # one beyond the word's last byte
-        length = self.end - self.start
+    def sentence_ends(self) -> np.ndarray:
+        """The words with which a sentence ends."""
+        words = np.flatnonzero(_LAST_BYTES[self.bytes[self.end - 1]]) if len(self.end) else np.zeros(0, np.int64)
+        length = (self.end - self.start)[words]
 
-        def tail(at: np.ndarray, ending: bytes) -> np.ndarray:
-            hit = np.ones(len(at), bool)
+        def tail(back: np.ndarray, ending: bytes) -> np.ndarray:
+            """Whether ``ending`` stands before the last ``back`` bytes of each word."""
+            hit = length >= back + len(ending)
+            at = self.end[words] - back
             for k, byte in enumerate(reversed(ending), 1):
-                hit &= padded[at - k] == byte
+                hit &= self.bytes[np.where(hit, at - k, 0)] == byte
             return hit
 
-        quoted = np.zeros(len(at), np.int64)
+        none = np.zeros(len(words), np.int64)
+        quoted = none.copy()
         for q in _QUOTES:
-            quoted[tail(at, q) & (length > len(q))] = len(q)
-        before = at - quoted
-        found = np.zeros(len(at), bool)
+            quoted[tail(none, q)] = len(q)
+        found = np.zeros(len(words), bool)
         for e in _STOPS:
-            found |= tail(before, e) & (length - quoted >= len(e))
-            found |= tail(at, e)
-        return found
+            found |= tail(quoted, e) | tail(none, e)
+        return words[found]
 
     def units(self, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """First word, end word and unit number of all lines with a word (0) and their units (1 and on)."""
         heads = np.flatnonzero(np.diff(self.line, prepend=-1))
         tails = np.append(heads[1:], len(self.line))[: len(heads)]
         sizes = tails - heads
-        stops = np.flatnonzero(self.ends_sentence()) + 1
+        stops = self.sentence_ends() + 1
         lows, highs = np.searchsorted(stops, heads, "right"), np.searchsorted(stops, tails)
         first, end, number = [heads], [tails], [np.zeros(len(heads), np.int64)]
         f, e, u = [], [], []
@@ -346,7 +359,7 @@ def _order(doc_id: Column) -> Column:
 
 
 class Sketch:
-    """A bitmap with a bit set for each of some numbers, on the driver and in a broadcast; 32 MB at most."""
+    """A Bloom filter of some numbers, on the driver and in a broadcast; 32 MB at most."""
 
     def __init__(self, numbers: DataFrame) -> None:
         """``numbers`` has one long column without nulls and is cheap to read twice."""
@@ -355,7 +368,8 @@ class Sketch:
         wanted = min(SKETCH_HIGH, SKETCH_EACH * numbers.count())
         while self.bits < wanted:
             self.bits *= 2
-        number = (F.pmod(F.col(column), F.lit(self.bits)) + 1).alias("n")  # bucket k holds 32768 (k - 1) + 1 and on
+        slots = [F.shiftrightunsigned(column, k).bitwiseAND(F.lit(self.bits - 1)) + 1 for k in SKETCH_SHIFTS]
+        number = F.explode(F.array(*slots)).alias("n")  # bucket k holds 32768 (k - 1) + 1 and on
         found = (
             numbers.select(number)
             .groupBy(F.bitmap_bucket_number("n").alias("k"))
@@ -375,9 +389,12 @@ class Sketch:
 
     def may_have(self, values: np.ndarray) -> np.ndarray:
         """For each of ``values`` (64 bits), False if it is not among the numbers."""
-        slot = values.astype(np.uint64, copy=False) & _U(self.bits - 1)
-        byte = np.frombuffer(self.shared.value, np.uint8)[(slot >> _U(3)).astype(np.int64)]
-        return byte >> (slot & _U(7)).astype(np.uint8) & 1 == 1
+        values = values.astype(np.uint64, copy=False)
+        table, found = np.frombuffer(self.shared.value, np.uint8), np.ones(values.shape, bool)
+        for k in SKETCH_SHIFTS:
+            slot = values >> _U(k) & _U(self.bits - 1)
+            found &= table[(slot >> _U(3)).astype(np.int64)] >> (slot & _U(7)).astype(np.uint8) & 1 == 1
+        return found
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
