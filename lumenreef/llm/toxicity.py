@@ -1,13 +1,14 @@
 """Toxicity: subword-bag embeddings averaged into a linear softmax.
 
-A word is the bag of its hashed character n-grams and itself; the mean of their
-embeddings goes through a two-class softmax, so an unseen misspelling, which
-shares most of its n-grams with the word it comes from, gets nearly its vector.
-A text's odds are the sum of its distinct words' odds (a smooth maximum): an
-average over the whole text would let a long text hide a few words. Embeddings
-and softmax are trained jointly, in numpy, on a bounded sample of labelled rows.
-At scoring time the product of embeddings and softmax weights is one number for
-each bucket, so the broadcast model has ``BUCKETS`` floats whatever the corpus.
+A word is the bag of its hashed character n-grams and itself, and its vector the mean of
+their embeddings; an unseen misspelling, which shares most of its n-grams with the word it
+comes from, gets nearly its vector. A text is the weighted mean of its distinct words' vectors
+and of one zero vector, and goes through a two-class softmax. The weight of a word is learnt
+like its vector: the exponential of the mean of one more number for each n-gram. So a few
+telling words are not lost among many others, and the score does not grow with the length of
+a text. Embeddings, weights and softmax are trained jointly, in numpy, on a bounded sample of
+labelled rows. At scoring time the product of embeddings and softmax weights is one number
+for each bucket, so the broadcast model has two times ``BUCKETS`` floats whatever the corpus.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ DIM = 4
 NGRAMS = (3, 4, 5)
 #: Bound on the training rows of either class (the documented sample bound).
 SAMPLE_PER_CLASS = 2000
-EPOCHS = 60
-RATE = 3.0
-#: A bucket seen in fewer training texts keeps a zero embedding.
-MIN_TEXTS = 8
+EPOCHS = 100
+RATE = 6.0
+#: Steps of the words' weights, as a multiple of those of their vectors.
+RATE_OF_WEIGHTS = 3.0
 #: Entries of a task's word cache; a full cache is emptied, results do not change.
 CACHE_WORDS = 400_000
 
@@ -62,31 +63,34 @@ def buckets_of(word: bytes) -> list[int]:
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights folded to one number for each bucket, and the bias."""
+    """For each bucket its part in a word's log-odds and in its weight (two columns), and the bias."""
 
-    weights: np.ndarray
+    buckets: np.ndarray
     bias: float
 
     def scorer(self):
-        """A function text -> probability, with a bounded memory of words' odds.
+        """A function text -> probability, with a bounded memory of words.
 
         The memory belongs to the process, so later tasks of a worker find it filled.
+        Sums are exact before they are rounded, so the order of the words does not matter.
         """
-        table = self.__dict__.setdefault("_table", self.weights.tolist())
-        odds: dict[bytes, float] = self.__dict__.setdefault("_odds", {})
+        odds, weights = self.__dict__.setdefault("_tables", self.buckets.T.tolist())
+        seen: dict[bytes, tuple[float, float]] = self.__dict__.setdefault("_seen", {})
 
         def score(text: str) -> float:
-            if len(odds) > CACHE_WORDS:
-                odds.clear()
-            total = math.exp(self.bias)  # a text without words has the bias alone
+            if len(seen) > CACHE_WORDS:
+                seen.clear()
+            found = []
             for w in set(words_of(text)):
-                o = odds.get(w)
-                if o is None:
+                pair = seen.get(w)
+                if pair is None:
                     bag = buckets_of(w)
-                    mean = sum([table[k] for k in bag]) / len(bag)
-                    o = odds[w] = math.exp(min(30.0, self.bias + mean))
-                total += o
-            return total / (1.0 + total)
+                    weight = math.exp(min(30.0, sum([weights[k] for k in bag]) / len(bag)))
+                    pair = seen[w] = weight, weight * sum([odds[k] for k in bag]) / len(bag)
+                found.append(pair)
+            total = 1.0 + math.fsum([a for a, _ in found])  # 1: the zero vector, all that a text without words has
+            z = self.bias + math.fsum([b for _, b in found]) / total
+            return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, z))))
 
         return score
 
@@ -127,11 +131,11 @@ def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, see
 
 
 def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, bags: list[np.ndarray], epochs: int = EPOCHS, seed: int = 11) -> ToxicityModel:
-    """Fit embeddings and softmax jointly by full-batch momentum descent.
+    """Fit embeddings, weights and softmax jointly by full-batch momentum descent.
 
-    Steps are scaled by one number for each parameter block, so that rare
+    Both classes weigh alike. Steps are scaled by one number for each parameter block, so that rare
     n-grams move less than those that many texts share. With no rows, one class
-    only, or no words, the weights are zero and the bias is the smoothed log-odds.
+    only, or no words, the embeddings are zero and the bias is the smoothed log-odds.
 
     ``docs`` has the ids of each text's distinct words, ``vocabulary`` all ids in
     order and ``bags`` their buckets.
@@ -140,15 +144,9 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     n1 = int(y.sum())
     docs = [np.searchsorted(vocabulary, d).astype(np.int32) for d in docs]
     if n1 in (0, len(y)) or not len(vocabulary):
-        return ToxicityModel(np.zeros(BUCKETS, np.float32), math.log((n1 + 0.5) / (len(y) - n1 + 0.5)))
-    in_texts = np.zeros(BUCKETS, np.int64)
-    for d in docs:
-        if len(d):
-            in_texts[np.unique(np.concatenate([bags[k] for k in d]))] += 1
-    used = np.flatnonzero(in_texts >= MIN_TEXTS)
-    place = np.full(BUCKETS, len(used), np.int32)  # the last row stays zero
-    place[used] = np.arange(len(used))
-    to_word = _Mean(place[np.concatenate(bags)], np.array([len(b) for b in bags]), len(used) + 1)
+        return ToxicityModel(np.zeros((BUCKETS, 2), np.float32), math.log((n1 + 0.5) / (len(y) - n1 + 0.5)))
+    used, place = np.unique(np.concatenate(bags), return_inverse=True)
+    to_word = _Mean(place.astype(np.int32), np.array([len(b) for b in bags]), len(used))
 
     full = np.array([k for k, d in enumerate(docs) if len(d)])  # texts with words
     y, docs = y[full], [docs[k] for k in full]
@@ -157,10 +155,10 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     word = np.concatenate(docs)
     sizes = np.array([len(d) for d in docs])
     starts, row = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(docs)), sizes)
-    weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
+    share_of = np.where(y == 1, 0.5 / n1, 0.5 / n0)
 
     rng = np.random.default_rng(seed)
-    e = np.zeros((len(used) + 1, DIM), np.float32)
+    e = np.zeros((len(used), DIM + 1), np.float32)  # the last column is for the weights
     half = rng.normal(size=(DIM, 1)).astype(np.float32)
     w = np.concatenate([-half, half], axis=1)
     b = np.zeros(2, np.float32)
@@ -168,23 +166,29 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     momentum, largest = [np.zeros_like(q) for q, _ in blocks], [0.0] * 3
     for step in range(1, epochs + 1):
         h = to_word(e)
-        z = h @ w + b
-        logit = (z[:, 1] - z[:, 0])[word]
-        top = np.maximum.reduceat(logit, starts)
-        share = np.exp(logit - top[row])
-        total = np.add.reduceat(share, starts)
-        p = 1 / (1 + np.exp(-(top + np.log(total))))
-        pull = ((p - y) * weight)[row] * share / total[row]
-        g1 = np.bincount(word, pull, len(vocabulary)).astype(np.float32)
-        g = np.stack([-g1, g1], axis=1)
-        grads = [to_word.back(g @ w.T), h.T @ g, g.sum(0)]
-        grads[0][-1] = 0
+        z = h[:, :DIM] @ w
+        odds, weight = (z[:, 1] - z[:, 0])[word], h[:, DIM][word]
+        top = np.maximum(np.maximum.reduceat(weight, starts), 0)  # 0: the weight of the zero vector
+        part = np.exp(weight - top[row])
+        part /= (np.add.reduceat(part, starts) + np.exp(-top))[row]
+        mean = np.add.reduceat(part * odds, starts)
+        p = 1 / (1 + np.exp(-(mean + b[1] - b[0])))
+        error = (p - y) * share_of
+        pull = error[row] * part
+        g_odds = np.bincount(word, pull, len(vocabulary)).astype(np.float32)
+        g_weight = np.bincount(word, pull * (odds - mean[row]), len(vocabulary)).astype(np.float32)
+        g = np.stack([-g_odds, g_odds], axis=1)
+        grads = [
+            to_word.back(np.concatenate([g @ w.T, RATE_OF_WEIGHTS * g_weight[:, None]], axis=1)),
+            h[:, :DIM].T @ g,
+            np.array([-error.sum(), error.sum()], np.float32),
+        ]
         for k, ((q, rate), dq) in enumerate(zip(blocks, grads)):
             momentum[k] += 0.2 * (dq - momentum[k])
             largest[k] += 0.1 * (float((dq * dq).max()) - largest[k])
             q -= rate * momentum[k] / (math.sqrt(largest[k] / (1 - 0.9**step)) + 1e-12)
-    folded = np.zeros(BUCKETS, np.float32)
-    folded[used] = (e @ (w[:, 1] - w[:, 0]))[:-1]
+    folded = np.zeros((BUCKETS, 2), np.float32)
+    folded[used, 0], folded[used, 1] = e[:, :DIM] @ (w[:, 1] - w[:, 0]), e[:, DIM]
     return ToxicityModel(folded, float(b[1] - b[0]))
 
 
@@ -259,7 +263,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def toxicity_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row for each document: doc_id, held_out, score, predicted."""
+    """One row for each document: doc_id, held_out, score, predicted.
+
+    Null and empty texts have the bias's score. Repeated rows repeat, a null doc_id keeps its
+    row, an empty table gives no rows. Without labels to learn from all scores are one number.
+    """
     scored = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels))
     return scored.select(
         "doc_id",

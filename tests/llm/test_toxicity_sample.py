@@ -15,7 +15,7 @@ def test_model_from_arrays_is_the_model_from_texts(spark):
     docs_, y, vocabulary, bags = toxicity.hashed_sample(docs)
     assert vocabulary.dtype == np.int64 and all(b.dtype == np.int32 for b in bags)
     mine, theirs = toxicity.fit(docs_, y, vocabulary, bags), toxicity.train([t or "" for _, t, _ in rows], [r[2] for r in rows])
-    assert np.array_equal(mine.weights, theirs.weights) and mine.bias == theirs.bias and mine.weights.any()
+    assert np.array_equal(mine.buckets, theirs.buckets) and mine.bias == theirs.bias and mine.buckets.any()
 
 
 def test_two_thousand_rows_of_a_class_are_learnt_from(spark):
@@ -23,3 +23,33 @@ def test_two_thousand_rows_of_a_class_are_learnt_from(spark):
     labels = docs.select("doc_id", F.lit(0).alias("toxic"))
     sample = toxicity.training_sample(docs, labels, "toxic", F.lit(True), toxicity.SAMPLE_PER_CLASS)
     assert sample.count() == 2000
+
+
+def test_scores_equal_a_plain_weighted_mean():
+    rng = random.Random(4)
+    words = ["table", "river", "ünï", "stone", "中文", "music", "grumblex", "grumblexes"]
+    texts = [" ".join(rng.choice(words[: 6 + 2 * (k % 2)]) for _ in range(rng.randint(0, 40))) for k in range(120)]
+    model = toxicity.train(texts, [int("grumblex" in t) for t in texts])
+    score = toxicity.ToxicityModel.scorer(model)
+    for text in [*texts, "unseen grumblexy Words, and 12", ""]:
+        up, down = 0.0, 1.0
+        for w in {w.encode() for w in text.lower().replace(",", " ").split()}:
+            bag = toxicity.buckets_of(w)
+            odds, weight = model.buckets[bag].astype(float).mean(axis=0)
+            up, down = up + np.exp(weight) * odds, down + np.exp(weight)
+        assert np.isclose(score(text), 1 / (1 + np.exp(-(up / down + model.bias))))
+    caught = [score(t) >= 0.5 for t in texts]
+    assert caught == ["grumblex" in t for t in texts]
+    assert score("a table by the grumblexi") > 0.5 > score("a table by the river")
+
+
+def test_length_does_not_make_a_text_toxic(spark):
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    known = labels.groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    rows = toxicity.toxicity_report(docs, labels).where("held_out").join(known, "doc_id").join(docs.select("doc_id", "text"), "doc_id").collect()
+    rate = lambda some: sum(r.predicted for r in some) / max(1, len(some))
+    assert rate([r for r in rows if r.y]) >= 0.9
+    clean = sorted((r for r in rows if r.y == 0), key=lambda r: len(set(toxicity.words_of(r.text or ""))))
+    step = len(clean) // 5 + 1
+    assert all(rate(clean[k : k + step]) < 0.03 for k in range(0, len(clean), step))
