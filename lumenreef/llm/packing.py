@@ -32,6 +32,8 @@ from lumenreef.llm._scratch import materialise
 
 WINDOW = 2048
 END_ID = 1
+#: Numbers of earlier pieces are broadcast up to this size; beyond, pieces and numbers meet in a merge join.
+BROADCAST_BYTES = 64 << 20
 #: Steps of the least-squares solver.
 SOLVER_STEPS = 150
 
@@ -43,14 +45,12 @@ class Tokenizer:
     """Token ids of a byte-level BPE vocabulary, as the ``tokenizers`` library gives them.
 
     ``tiktoken`` runs the same vocabulary several times faster; it takes the texts
-    whose characters both libraries classify alike, and ``tokenizers`` the rest.
-
-    With ``added_tokens`` a text that holds the content of one of the vocabulary's added
-    tokens (``<|endoftext|>``) gets that token's id, as from the library when loaded;
-    without, the content is split like other text.
+    whose characters both libraries classify alike, and ``tokenizers`` the rest. A text that
+    holds the content of one of the vocabulary's added tokens (``<|endoftext|>``) also goes
+    to ``tokenizers``, which gives it that token's id.
     """
 
-    def __init__(self, json_path: str | None = None, ranks_path: str | None = None, added_tokens: bool = False) -> None:
+    def __init__(self, json_path: str | None = None, ranks_path: str | None = None) -> None:
         import public_tokenizers
         import tiktoken
 
@@ -60,25 +60,21 @@ class Tokenizer:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._fast = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._slow = None
-        self._split_added = not added_tokens
-        self._added = None
-        if added_tokens:
-            with open(self._json, encoding="utf-8") as f:
-                contents = [t["content"] for t in json.load(f).get("added_tokens") or []]
-            self._added = re.compile("|".join(map(re.escape, contents))) if contents else None
+        with open(self._json, encoding="utf-8") as f:
+            contents = [t["content"] for t in json.load(f).get("added_tokens") or []]
+        self._added = re.compile("|".join(map(re.escape, contents)) or "(?!)")
 
     def ids(self, text: str) -> list[int]:
-        if _PLAIN.fullmatch(text) and not (self._added and self._added.search(text)):
+        if _PLAIN.fullmatch(text) and not self._added.search(text):
             return self._fast.encode_ordinary(text)
         if self._slow is None:
             from tokenizers import Tokenizer as Library
 
             self._slow = Library.from_file(self._json)
-            self._slow.encode_special_tokens = self._split_added
         return self._slow.encode(text, add_special_tokens=False).ids
 
 
-def token_pieces(docs: DataFrame, window: int = WINDOW, added_tokens: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Pieces of at most ``window`` tokens of each document, end id included.
 
     ``block`` and ``rank``: the task that made the piece, and the piece's place among
@@ -87,7 +83,7 @@ def token_pieces(docs: DataFrame, window: int = WINDOW, added_tokens: bool = Fal
     schema = "block long, doc_id long, start long, length int, rank long, doc_tokens long, ids binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = Tokenizer(added_tokens=added_tokens)
+        tokenizer = Tokenizer()
         block = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
         for batch in slices(batches):
@@ -263,25 +259,39 @@ def plan_packing(histogram: Mapping[int, int], window: int = WINDOW) -> Plan:
     )
 
 
+def _bases(counts: DataFrame, window: int) -> DataFrame:
+    """``block, bases``: for each length the number of its pieces in the blocks before."""
+    earlier = W.partitionBy("length").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    found = counts.select("block", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
+
+    def dense(key: tuple, table: pa.Table) -> pa.Table:
+        bases = np.zeros(window + 1, np.int64)
+        bases[table.column("length").to_numpy()] = table.column("base").to_numpy()
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "bases": pa.array([bases], pa.list_(pa.int64()))})
+
+    return materialise(found.groupBy("block").applyInArrow(dense, "block long, bases array<long>"), "bases")
+
+
 PACKED_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 
 
-def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
+def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True) -> DataFrame:
     """One row for each piece: its ids and its place in a sequence.
 
     Sequences hold ``window`` tokens, but for at most log2(window) last ones, whose
     lengths are powers of two; none needs padding. Null and empty texts are one
     end id. Repeated rows are packed each; an empty table gives no rows. Without
-    ``with_ids`` the column ``ids`` is left out, and only its checksum stays.
-    ``added_tokens``: see ``Tokenizer``.
+    ``with_ids`` the column ``ids`` is left out, and only its checksum stays. A null doc_id
+    stays null; other columns take no part.
     """
-    pieces = materialise(token_pieces(docs, window, added_tokens), "pieces")
+    pieces = materialise(token_pieces(docs, window), "pieces")
     counts = materialise(pieces.groupBy("block", "length").count(), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("count").alias("n")).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(plan_packing(histogram, window))
-    earlier = W.partitionBy("length").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    bases = counts.select("block", "length", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("base"))
-    placed = pieces.join(bases, ["block", "length"]).withColumn("rank", F.col("rank") + F.col("base"))
+    bases = _bases(counts, window)
+    small = bases.count() * 8 * (window + 1) <= BROADCAST_BYTES
+    placed = pieces.join(F.broadcast(bases) if small else bases.hint("merge"), "block")
+    placed = placed.withColumn("rank", F.col("rank") + F.get("bases", F.col("length")))
     names = [x.split()[0] for x in PACKED_SCHEMA.split(", ")]
     schema = PACKED_SCHEMA if with_ids else PACKED_SCHEMA.rpartition(", ")[0]
 
@@ -303,5 +313,5 @@ def pack(docs: DataFrame, window: int = WINDOW, with_ids: bool = True, added_tok
 
 
 def packing_report(docs: DataFrame) -> DataFrame:
-    """One row for each piece, with the checksum of its ids, which are those of the library as loaded."""
-    return pack(docs, with_ids=False, added_tokens=True)
+    """``pack`` of ``docs`` with the checksums of the ids only."""
+    return pack(docs, with_ids=False)

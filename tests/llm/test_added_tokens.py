@@ -17,7 +17,7 @@ def library():
 
 
 def test_ids_are_those_of_the_library_as_loaded():
-    mine, theirs = packing.Tokenizer(added_tokens=True), library()
+    mine, theirs = packing.Tokenizer(), library()
     for text in TEXTS:
         assert mine.ids(text) == theirs.encode(text, add_special_tokens=False).ids, text
     assert mine.ids(TEXTS[0]) == [64, 220, 50256, 275]
@@ -33,3 +33,19 @@ def test_query_and_pipeline_use_them(spark):
             mine = sorted((r for r in rows if r.doc_id == k), key=lambda r: r.start)
             assert sum(r.length for r in mine) == mine[0].doc_tokens == len(ids)
             assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in mine)
+
+
+def test_merge_join_gives_the_places_of_the_broadcast(spark, monkeypatch):
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat('word ', cast(id * 37 % 900 AS int)) AS text").repartition(7, "doc_id")
+    kinds = []
+    for most in (packing.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(packing, "BROADCAST_BYTES", most)
+        got = packing.pack(docs, 256)
+        rows = sorted((r.sequence_id, r.offset, r.length) for r in got.collect())
+        ends = {}
+        for sequence, offset, length in rows:
+            assert offset == ends.get(sequence, 0)
+            ends[sequence] = offset + length
+        assert all(v == 256 or v & (v - 1) == 0 for v in ends.values())
+        kinds.append((len(ends), sum(ends.values())))
+    assert kinds[0] == kinds[1]

@@ -190,7 +190,6 @@ def test_packing_is_whole_and_exact(spark):
     assert all(v == 2048 or v & (v - 1) == 0 for v in sums.values())
     assert sum(v < 2048 for v in sums.values()) <= 11
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     for doc_id, text in rows:
         if doc_id == 92:
             continue
@@ -226,7 +225,6 @@ def test_tokenizers_agree_on_plain_texts():
     rng = random.Random(9)
     mine = packing.Tokenizer()
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     letters = [chr(c) for c in (9, 10, 13, *range(32, 127), *range(0xA1, 0x250))]
     for _ in range(1500):
         text = "".join(rng.choice(letters + [" "] * 60 + ["'s", "\n"] * 8) for _ in range(rng.randint(0, 60)))
