@@ -81,12 +81,39 @@ def fitting_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
     return text, verdict
 
 
-_TAGS = re.compile(r"<(script|style)\b.*?</\1>|<[^>]*>", re.S | re.I)
+_HIDDEN = re.compile(r"<(script|style)\b", re.I)
+_CLOSE = {kind: re.compile(f"</{kind}>", re.I) for kind in ("script", "style")}
 _WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{2,20}(?![^\W\d_])")  # whole words only
 
 
+def visible(html: str) -> str:
+    """``html`` with a space for each tag, and for scripts and styles with what they hold.
+
+    One walk from left to right; a closing tag that is not there is looked for once.
+    """
+    kept, at, missing = [], 0, set()
+    while (tag := html.find("<", at)) >= 0:
+        kept.append(html[at:tag])
+        found = _HIDDEN.match(html, tag)
+        kind = found.group(1).lower() if found else None
+        if kind and kind not in missing:
+            if close := _CLOSE[kind].search(html, tag):
+                at = close.end()
+                continue
+            missing.add(kind)
+        end = html.find(">", tag)
+        if end < 0:  # no more tags: this one and the rest are text
+            at = tag
+            break
+        at = end + 1
+    return " ".join([*kept, html[at:]])
+
+
 def page_words(pages: DataFrame, flush: int = 200_000) -> DataFrame:
-    """``word, n``: counts of the words (2 to 20 letters) in the visible text of all pages."""
+    """``word, n``: counts of the words (2 to 20 letters) in the visible text of all pages.
+
+    A null page has no words. A task holds at most ``flush`` counts and one page's words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -96,7 +123,7 @@ def page_words(pages: DataFrame, flush: int = 200_000) -> DataFrame:
 
         for batch in slices(batches, 64):
             for html in texts_of(batch, "html"):
-                seen.update(_WORDS.findall(_TAGS.sub(" ", html).lower()))
+                seen.update(_WORDS.findall(visible(html).lower()))
             if len(seen) > flush:
                 yield out()
                 seen.clear()
@@ -169,12 +196,18 @@ def path_tokens(path: Column) -> Column:
     return F.transform(tokens, lambda x: F.regexp_replace(x, "[0-9]+", "0"))
 
 
+def shape_of(host: Column, tokens: Column) -> Column:
+    """A short name for a host and its path tokens (neither holds a slash), so that long paths are not copied with each token."""
+    return F.sha2(F.concat_ws("/", host, tokens), 256)
+
+
 def url_odds(urls: DataFrame, words: DataFrame) -> DataFrame:
-    """``host, tokens, odds`` for each distinct host and token list of ``urls(host, tokens)``.
+    """``shape, host, tokens, odds`` for each distinct host and token list of ``urls(host, tokens)``.
 
     ``odds`` is the naive Bayes log-odds of the unwanted class.
     """
-    shapes = urls.groupBy("host", "tokens").count()
+    shape = shape_of(F.col("host"), F.col("tokens")).alias("shape")
+    shapes = urls.groupBy(shape).agg(F.first("host").alias("host"), F.first("tokens").alias("tokens"), F.count("*").alias("count"))
     hosts = materialise(shapes.select("host").distinct(), "hosts")
     shapes = shapes.join(_host_words(hosts, words), "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
     seeds = F.array(*map(F.lit, SEEDS))
@@ -190,8 +223,8 @@ def url_odds(urls: DataFrame, words: DataFrame) -> DataFrame:
     base = math.log((bad_urls + 1) / (all_urls - bad_urls + 1))
     size = math.log(((n[2] or 0) + SMOOTHING * n[0]) / ((n[1] or 0) + SMOOTHING * n[0]))
     weights = counted.select("token", (F.log(F.col("bad") + SMOOTHING) - F.log(F.col("good") + SMOOTHING) + size).alias("w"))
-    summed = shapes.select("host", "tokens", F.explode("all").alias("token")).join(weights, "token").groupBy("host", "tokens").agg(F.sum("w").alias("w"))
-    return shapes.select("host", "tokens").join(summed, ["host", "tokens"], "left").select("host", "tokens", (F.coalesce("w", F.lit(0.0)) + base).alias("odds"))
+    summed = shapes.select("shape", F.explode("all").alias("token")).join(weights, "token").groupBy("shape").agg(F.sum("w").alias("w"))
+    return shapes.select("shape", "host", "tokens").join(summed, "shape", "left").select("shape", "host", "tokens", (F.coalesce("w", F.lit(0.0)) + base).alias("odds"))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -199,19 +232,21 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     The verdict is the longest fitting rule's, else ``block`` where the model's
     log-odds are above 0. A null URL, or one without ``://``, has empty host and path
-    and the model's prior. Null page ids and repeated rows stay as they are.
+    and the model's prior. Null page ids and repeated rows stay as they are; other columns
+    take no part. An empty table gives no rows. Pages, labels and URLs of any length are
+    taken whole: the work grows with their length, for a label times ``LONGEST_WORD``.
     """
     words = materialise(page_words(pages), "words")
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", host.alias("host"), path.alias("path"))
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     urls = materialise(urls.select("*", rule.alias("rule"), verdict.alias("ruled"), path_tokens(F.col("path")).alias("tokens")), "urls")
-    odds = materialise(url_odds(urls, words), "odds")
-    judged = urls.join(odds, ["host", "tokens"])
+    odds = materialise(url_odds(urls, words).select("shape", "odds"), "odds")
+    judged = urls.withColumn("shape", shape_of(F.col("host"), F.col("tokens"))).join(odds, "shape")
     own = F.when(F.col("odds") > 0, "block").otherwise("allow")
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", own).alias("verdict"), "odds")
 
 
 def url_report(pages: DataFrame) -> DataFrame:
-    """The judgement of every page."""
+    """``judge_urls`` of all pages."""
     return judge_urls(pages)
