@@ -31,31 +31,33 @@ _WORD = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 class Notice:
     """A phrase of words, its label, and how many edits a match may have.
 
-    ``base`` marks phrases whose exact places are counted on their own.
+    ``base`` marks phrases whose exact places are counted on their own. ``must`` are words of
+    the phrase that tell it from others: they stand unchanged in every match.
     """
 
     label: str
     phrase: str
     edits: int
     base: bool = False
+    must: str = ""
 
 
 # Notice phrases in common use, with their labels.
 NOTICES: tuple[Notice, ...] = (
-    Notice("mit", "mit license", 1, base=True),
-    Notice("apache", "apache license", 1, base=True),
-    Notice("gpl", "general public license", 2, base=True),
-    Notice("mit", "released under the mit license", 3),
+    Notice("mit", "mit license", 1, base=True, must="mit"),
+    Notice("apache", "apache license", 1, base=True, must="apache"),
+    Notice("gpl", "general public license", 2, base=True, must="general public"),
+    Notice("mit", "released under the mit license", 3, must="mit"),
     Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
-    Notice("apache", "licensed under the apache license version 2 0", 4),
+    Notice("apache", "licensed under the apache license version 2 0", 4, must="apache"),
     Notice("gpl", "this work is licensed under the gnu general public license", 5),
-    Notice("lgpl", "gnu lesser general public license", 3),
+    Notice("lgpl", "gnu lesser general public license", 3, must="lesser general public"),
     Notice("bsd", "redistribution and use in source and binary forms", 4),
-    Notice("mpl", "mozilla public license", 2),
-    Notice("cc-by-nc", "licensed under cc by nc", 2),
-    Notice("cc", "creative commons attribution", 2),
+    Notice("mpl", "mozilla public license", 2, must="mozilla"),
+    Notice("cc-by-nc", "licensed under cc by nc", 2, must="cc by nc"),
+    Notice("cc", "creative commons attribution", 2, must="creative commons"),
     Notice("isc", "permission to use copy modify and or distribute this software for any purpose", 6),
-    Notice("all-rights-reserved", "all rights reserved", 1),
+    Notice("all-rights-reserved", "all rights reserved", 1, must="rights reserved"),
 )
 
 
@@ -118,6 +120,8 @@ class Scanner:
             for a, b in _windows(starts[k].difference(exact), len(padded), notice.edits, len(norm)):
                 for m in self.patterns[k].finditer(norm, a, b):
                     s, e = m.span()
+                    if notice.must and f" {notice.must} " not in f" {m.group()} ":
+                        continue
                     before = bisect_left(exact, e) - 1  # the last exact place that starts before the end
                     if before < 0 or s >= exact[before] + len(padded) - 1:
                         found.append(self._hit(spaces, notice, s, e, sum(m.fuzzy_counts)))
@@ -187,7 +191,8 @@ def license_report(docs: DataFrame, notices: Sequence[Notice] = NOTICES) -> Data
 
     ``n_base`` counts exact places of base phrases, ``first_word`` and ``last_word``
     are their smallest and largest start (null without any). ``score`` is the
-    best similarity of a match, 0 without any. Null and empty texts have no words.
+    best similarity of a match, 0 without any. Null and empty texts have no words. A null
+    doc_id keeps its row, repeated rows repeat, an empty table gives no rows.
     """
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -69,6 +69,16 @@ def test_license_base_places(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
 
 
+def test_words_that_tell_a_notice_stand_unchanged():
+    scanner = license_scan.Scanner()
+    labels = lambda t: {h.notice.label for h in scanner.hits(license_scan.normalised(t)[1])}
+    for text in ("get it license", "kit license", "omit license", "generate public license", "all nights reserved", "mits license"):
+        assert labels(text) == set(), text
+    wanted = {"mit licence": "mit", "apache licence": "apache", "general public licens": "gpl", "all right reserved": None, "al rights reserved": "all-rights-reserved"}
+    for text, label in wanted.items():
+        assert labels(f"a {text} b") == ({label} if label else set()), text
+
+
 def test_license_fuzzy_matches_are_within_bounds_and_none_is_lost():
     notice = license_scan.Notice("mit", "released under the mit license", 3)
     scanner = license_scan.Scanner([notice])
