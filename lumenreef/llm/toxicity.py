@@ -96,22 +96,37 @@ class ToxicityModel:
 
 
 class _Mean:
-    """The linear map that averages rows of a matrix by group, and its transpose."""
+    """The linear map that averages rows of a matrix by group, and its transpose.
+
+    Both take ``STEP`` groups at a time, so that memory follows the result and not the entries.
+    """
+
+    STEP = 1 << 14
 
     def __init__(self, index: np.ndarray, sizes: np.ndarray, n_in: int) -> None:
         self.index, self.n_in = index, n_in
-        self.starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
         self.inverse = (1.0 / sizes).astype(np.float32)[:, None]
-        order = np.argsort(index, kind="stable")
+        order = np.argsort(index, kind="stable").astype(np.int32)
         self.back_row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
-        self.back_key, self.back_start = np.unique(index[order], return_index=True)
+        self.back_key, starts = np.unique(index[order], return_index=True)
+        self.back_bounds = np.append(starts, len(index))
+
+    def _sums(self, x: np.ndarray, index: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        for at in range(0, len(bounds) - 1, self.STEP):
+            some = bounds[at : at + self.STEP + 1]
+            yield at, np.add.reduceat(x[index[some[0] : some[-1]]], some[:-1] - some[0], axis=0)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(x[self.index], self.starts, axis=0) * self.inverse
+        out = np.empty((len(self.inverse), x.shape[1]), np.float32)
+        for at, sums in self._sums(x, self.index, self.bounds):
+            out[at : at + len(sums)] = sums
+        return out * self.inverse
 
     def back(self, g: np.ndarray) -> np.ndarray:
         out = np.zeros((self.n_in, g.shape[1]), np.float32)
-        out[self.back_key] = np.add.reduceat((g * self.inverse)[self.back_row], self.back_start, axis=0)
+        for at, sums in self._sums(g * self.inverse, self.back_row, self.back_bounds):
+            out[self.back_key[at : at + len(sums)]] = sums
         return out
 
 
@@ -145,8 +160,12 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     docs = [np.searchsorted(vocabulary, d).astype(np.int32) for d in docs]
     if n1 in (0, len(y)) or not len(vocabulary):
         return ToxicityModel(np.zeros((BUCKETS, 2), np.float32), math.log((n1 + 0.5) / (len(y) - n1 + 0.5)))
-    used, place = np.unique(np.concatenate(bags), return_inverse=True)
-    to_word = _Mean(place.astype(np.int32), np.array([len(b) for b in bags]), len(used))
+    every = np.concatenate(bags)
+    used = np.unique(every)
+    place = np.zeros(BUCKETS, np.int32)
+    place[used] = np.arange(len(used))
+    to_word = _Mean(place[every], np.array([len(b) for b in bags]), len(used))
+    del every, bags
 
     full = np.array([k for k, d in enumerate(docs) if len(d)])  # texts with words
     y, docs = y[full], [docs[k] for k in full]
@@ -154,7 +173,8 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     n0 = max(1, len(y) - n1)
     word = np.concatenate(docs)
     sizes = np.array([len(d) for d in docs])
-    starts, row = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(docs)), sizes)
+    starts, row = np.concatenate([[0], np.cumsum(sizes)[:-1]]), np.repeat(np.arange(len(docs), dtype=np.int32), sizes)
+    del docs
     share_of = np.where(y == 1, 0.5 / n1, 0.5 / n0)
 
     rng = np.random.default_rng(seed)
@@ -236,7 +256,10 @@ def hashed_sample(sample: DataFrame) -> tuple[list[np.ndarray], list[int], np.nd
     docs = [x.values.to_numpy() for x in rows["ids"]]
     pairs = kept.select(F.explode(F.arrays_zip("ids", "words")).alias("p")).select(F.col("p.ids").alias("id"), F.col("p.words").alias("word"))
     found = pairs.groupBy("id").agg(F.min("word").alias("word")).mapInArrow(bag, "id long, bag binary").toArrow().sort_by("id")
-    bags = [np.frombuffer(x.as_buffer(), "<i4") for x in found["bag"]]
+    whole = found["bag"].combine_chunks()
+    ends = np.frombuffer(whole.buffers()[1], "<i4")[whole.offset : whole.offset + len(whole) + 1] // 4
+    flat = np.frombuffer(whole.buffers()[2], "<i4") if len(whole) else np.zeros(0, np.int32)
+    bags = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
     return docs, rows["y"].to_pylist(), found["id"].to_numpy(), bags
 
 
