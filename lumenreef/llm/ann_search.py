@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from lumenreef.llm._scratch import materialise
 
-PROJECTIONS = 256
-THRESHOLD = 120
+PROJECTIONS = 160
+THRESHOLD = 75
 CERTAINTY = 0.85
 #: Factor by which windows widen, and the first half-width as a share of the common length.
-WIDEN, FIRST = 1.1, 0.3
-#: Steps after which the windows are wider than any projection (0.3 * 1.1 ** 80 is over 600 lengths).
+WIDEN, FIRST = 1.07, 0.4
+#: Steps after which the windows are wider than any projection (0.4 * 1.07 ** 80 is over 80 lengths).
 LEVELS = 80
 #: Vectors of an index block and queries of a query block, on average.
 BLOCK_ROWS, QUERY_ROWS = 16384, 512
