@@ -37,9 +37,9 @@ def initial() -> Column:
 
 
 def apply_step(acc: Column, step: Column, enricher: bool = False) -> Column:
-    """The configuration after one step with ``accion, parametro, valor_entero, valor_lista, plain``.
+    """The configuration after one step with ``accion, parametro, valor_entero, valor_lista, plain, reject``.
 
-    ``plain`` marks an empty proposal: only the searches go up.
+    ``plain`` marks an empty proposal: only the searches go up. ``reject`` marks one without effect.
     """
     action, parameter, number, listed = step["accion"], step["parametro"], step["valor_entero"], step["valor_lista"]
     searches = (action == "AUMENTAR_BUSQUEDAS") & (parameter == "busquedas_facebook")
@@ -55,7 +55,7 @@ def apply_step(acc: Column, step: Column, enricher: bool = False) -> Column:
         return F.when(mine & ~plain, F.coalesce(number, bump(acc[name], rule)))
 
     found = F.coalesce(number_of("busquedas_facebook", searches, SEARCHES), F.when(other, bump(acc["busquedas_facebook"], SEARCHES)), acc["busquedas_facebook"])
-    return F.struct(
+    after = F.struct(
         F.coalesce(number_of("max_eventos", events, MAX_EVENTS), acc["max_eventos"]).alias("max_eventos"),
         found.alias("busquedas_facebook"),
         F.coalesce(number_of("timeout", timeout, TIMEOUT), acc["timeout"]).alias("timeout"),
@@ -64,13 +64,14 @@ def apply_step(acc: Column, step: Column, enricher: bool = False) -> Column:
         .otherwise(acc["priorizar_paises"])
         .alias("priorizar_paises"),
     ).cast(STATE)
+    return F.when(step["reject"], acc).otherwise(after)
 
 
 def steps(rows: DataFrame, enricher: bool = False) -> DataFrame:
     """``run_id, iteracion, step`` for the proposals of ``rows``, parsed and with the rule fallback.
 
     ``rows`` has run_id, iteracion, respuesta, eventos and organizadores. Non-objects are
-    rejects: they have no step and leave the configuration as it is.
+    rejects: their step leaves the configuration as it is.
     """
     parsed = proposals.parse_proposals(rows)
     action, parameter, value = proposals.rule_fallback()
@@ -81,8 +82,9 @@ def steps(rows: DataFrame, enricher: bool = False) -> DataFrame:
         F.when(lost, value.try_cast("bigint")).otherwise(F.col("valor_entero")).alias("valor_entero"),
         F.when(~lost, F.col("valor_lista")).alias("valor_lista"),
         (F.col("clase") == proposals.EMPTY).alias("plain"),
+        (F.col("clase") == proposals.NON_OBJECT).alias("reject"),
     )
-    return parsed.where(F.col("clase") != proposals.NON_OBJECT).select("run_id", "iteracion", step.alias("step"))
+    return parsed.select("run_id", "iteracion", step.alias("step"))
 
 
 def _by_run(rows: DataFrame) -> DataFrame:
@@ -98,8 +100,8 @@ def numbered(rows: DataFrame, order: str, iterations: int = ITERATIONS) -> DataF
 
 
 def fold(rows: DataFrame, enricher: bool = False) -> DataFrame:
-    """The last configuration of each run: one row with its fields."""
-    runs = _by_run(steps(rows, enricher))
+    """The last configuration of each run that has a proposal with effect: one row with its fields."""
+    runs = _by_run(steps(rows, enricher)).where(F.exists("steps", lambda x: ~x["step"]["reject"]))
     state = F.aggregate("steps", initial(), lambda acc, x: apply_step(acc, x["step"], enricher))
     return runs.select("run_id", state.alias("c")).select("run_id", "c.*")
 
@@ -109,19 +111,16 @@ def trajectory(rows: DataFrame, enricher: bool = False) -> DataFrame:
 
     Every iteration of ``rows`` has a row, also one whose proposal is a reject.
     """
-    runs = _by_run(steps(rows, enricher))
-    kind = f"array<struct<iteracion:bigint,c:{STATE}>>"
-    first = F.array(F.struct(F.lit(0).cast("bigint").alias("iteracion"), initial().alias("c"))).cast(kind)
+    used = f"array<struct<iteracion:bigint,c:{STATE}>>"
+    kind = f"struct<now:{STATE},used:{used}>"
+    first = F.struct(initial().alias("now"), F.array().cast(used).alias("used")).cast(kind)
 
     def add(acc: Column, x: Column) -> Column:
-        after = F.struct(x["iteracion"].alias("iteracion"), apply_step(F.element_at(acc, -1)["c"], x["step"], enricher).alias("c"))
-        return F.concat(acc, F.array(after)).cast(kind)
-
-    states = runs.select("run_id", F.aggregate("steps", first, add).alias("states"))
-    used = F.element_at(F.filter("states", lambda s: s["iteracion"] < F.col("iteracion")), -1)["c"]
-    blank = F.coalesce("states", first)
-    found = rows.select("run_id", "iteracion").join(states, "run_id", "left").withColumn("states", blank)
-    return found.select("run_id", "iteracion", used.alias("c")).select("run_id", "iteracion", "c.*")
+        mine = F.struct(x["iteracion"].alias("iteracion"), acc["now"].alias("c"))
+        return F.struct(apply_step(acc["now"], x["step"], enricher).alias("now"), F.concat(acc["used"], F.array(mine)).alias("used")).cast(kind)
+
+    runs = _by_run(steps(rows, enricher)).select("run_id", F.aggregate("steps", first, add, lambda acc: acc["used"]).alias("used"))
+    return runs.select("run_id", F.inline("used")).select("run_id", "iteracion", "c.*")
 
 
 def full_config() -> Column:

@@ -58,9 +58,8 @@ def parse_proposals(rows: DataFrame, text: str = "respuesta") -> DataFrame:
         return F.when(F.col("clase") == VALID, F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(default)))
 
     listed = F.schema_of_variant("_w").startswith("ARRAY")
-    return df.select(
-        *rows.columns,
-        "clase",
+    fields = F.struct(
+        F.col("clase").alias("clase"),
         field("accion", "").alias("accion"),
         field("parametro", "").alias("parametro"),
         F.try_variant_get("_w", "$", "string").alias("valor_texto"),
@@ -68,6 +67,8 @@ def parse_proposals(rows: DataFrame, text: str = "respuesta") -> DataFrame:
         F.when(listed, F.coalesce(F.try_variant_get("_w", "$", "array<string>"), F.array().cast("array<string>"))).alias("valor_lista"),
         field("razon", "Sin razón").alias("razon"),
     )
+    # Fields come out of a list of one, so a filter on one of them is not pushed below and does not parse again.
+    return df.select(*rows.columns, F.inline(F.array(fields)))
 
 
 def rule_fallback(few_organisers: int = 20, many_events: int = 50) -> tuple[Column, Column, Column]:

@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 
 from lumenreef.operators import kpi
 
-EMAIL = r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{2,})"
+#: A match starts where a run of its characters starts, or where the match before ended, so a long run is read once.
+EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)([A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+[.][A-Za-z]{2,})"
 OWNER = r"&copy; *([^ <]+) "
 
 
 def emails_in(rows: DataFrame, key: str, text: str) -> DataFrame:
     """``key, email``: every address in a text, repeats included. Null texts have none."""
-    return rows.select(key, F.explode(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(1))).alias("email"))
+    return rows.where(F.contains(F.col(text), F.lit("@"))).select(key, F.explode(F.regexp_extract_all(text, F.lit(EMAIL), F.lit(1))).alias("email"))
 
 
 def first_contacts(rows: DataFrame, key: str, text: str) -> DataFrame:
     """``key, organizador, email``: the first footer owner and address of each text, else null."""
 
-    def first(pattern: str):
-        return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    def first(pattern: str, mark: str):
+        found = F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+        return F.when(F.contains(F.col(text), F.lit(mark)), found)
 
-    return rows.select(key, first(OWNER).alias("organizador"), first(EMAIL).alias("email"))
+    return rows.select(key, first(OWNER, "&copy;").alias("organizador"), first(EMAIL, "@").alias("email"))
 
 
 def fill_contacts(catalog: DataFrame, contacts: DataFrame, key: str = "event_id") -> DataFrame:

@@ -45,8 +45,11 @@ def scan_csv(spark: SparkSession, path: str, with_corrupt: bool = False) -> Data
         raise NoCatalog(path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField(CORRUPT, T.StringType())])
     rows = spark.read.options(**_CSV, columnNameOfCorruptRecord=CORRUPT, enforceSchema="true").schema(schema).csv(path)
-    # A row that is too short is also marked; only a long one has a field beyond the last name.
-    bad = F.col(CORRUPT).isNotNull() & F.col(f"`{names[-1]}`").isNotNull()
+    # Short rows are marked too. A marked row is long if its last named field is there, or by its
+    # number of fields (commas outside of quotes), as empty fields are read like absent ones.
+    bare = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    bad = F.col(CORRUPT).isNotNull() & (F.col(f"`{names[-1]}`").isNotNull() | (fields > len(names)))
     values = [known(F.col(f"`{n}`")).alias(n) for n in names]
     kept = rows.select(*values, F.when(bad, F.col(CORRUPT)).alias(CORRUPT), bad.alias("_bad"))
     if with_corrupt:

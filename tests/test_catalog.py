@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from lumenreef.operators import contacts, history, kpi
 from lumenreef.sources import catalog, history as histories
@@ -46,6 +48,23 @@ def test_long_row_is_corrupt_and_short_row_padded(spark, tmp_path):
     assert marked.count() == 1
 
 
+def test_long_rows_with_empty_fields_are_corrupt(spark, tmp_path):
+    path = put(tmp_path, 'fuente,email\n1,,3\n1,2,\n1,2,,4\n"a,b",c\n"x ""y"", z"\n"p,q\nr","s,"\nok,\n')
+    kept = {tuple(r) for r in catalog.scan_csv(spark, path).collect()}
+    assert kept == {("a,b", "c"), ('x "y", z', None), ("p,q\nr", "s,"), ("ok", None)}
+    marked = catalog.scan_csv(spark, path, with_corrupt=True).where(F.col(catalog.CORRUPT).isNotNull())
+    assert marked.count() == 3
+
+
+def test_addresses_in_long_texts_take_linear_time(spark):
+    began = time.monotonic()
+    texts = ["a" * 1_000_000, "a." * 500_000 + "@", "a@" + "b." * 400_000, "a@b.cc1d@e.ff " + "x" * 1_000_000, None, "x.y@z.org,q+1@r-s.co.uk9"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    found = sorted((r.k, r.email) for r in contacts.emails_in(rows, "k", "text").collect())
+    assert found == [(3, "1d@e.ff"), (3, "a@b.cc"), (5, "q+1@r-s.co.uk"), (5, "x.y@z.org")]
+    assert time.monotonic() - began < 20
+
+
 def test_missing_column_and_case_of_header(spark, tmp_path):
     assert metrics(catalog.scan_csv(spark, put(tmp_path, "fuente,organizador\nA,x\n"))) == (1, 1, 1, 0, 13)
     assert metrics(catalog.scan_csv(spark, put(tmp_path, "Fuente\nA\n", "d.csv"))) == (1, 0, 0, 0, 1)

@@ -140,3 +140,16 @@ def test_random_folds(spark, enricher):
 def test_array_append(spark):
     row = spark.range(1).select(proposals.append_distinct(F.lit(None).cast("array<string>"), F.array(F.lit("a"), F.lit("a"))).alias("x")).first()
     assert row.x == ["a"]
+
+
+def test_a_filter_on_a_field_does_not_parse_again(spark):
+    df = proposals.parse_proposals(rows_of(spark, FIXTURE)).where("clase = 'NON_OBJECT' OR valor_lista IS NOT NULL")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" in plan and "parse_json" not in plan.partition("Generate")[0]
+
+
+def test_rejects_keep_their_iteration(spark):
+    texts = ["[1]", p("AUMENTAR_TIMEOUT", "timeout", "30"), "[2]", "{}"]
+    got = policy.trajectory(rows_of(spark, texts)).orderBy("iteracion").collect()
+    assert [(r.iteracion, r.timeout, r.busquedas_facebook) for r in got] == [(1, 20, 50), (2, 20, 50), (3, 30, 50), (4, 30, 50)]
+    assert policy.fold(rows_of(spark, ["[1]", "[2]"])).count() == 0
