@@ -44,6 +44,12 @@ def until_stop(rows: DataFrame, goal: Column, failed: Column, iterations: int) -
     return marked.where(open_end).drop("_g", "_f")
 
 
+def with_proposals(rows: DataFrame, proposals: DataFrame) -> DataFrame:
+    """``rows`` with the text ``respuesta`` of their proposal; null, which counts as an empty proposal, where none came."""
+    answers = proposals.select("run_id", "iteracion", "respuesta")
+    return rows.join(answers, ["run_id", "iteracion"], "left")
+
+
 def mark_changes(rows: DataFrame, *columns: str) -> DataFrame:
     """``changed``: some column differs from the run's row before; false in its first row."""
     changed = F.lit(False)

@@ -196,6 +196,23 @@ def config_fold(spark, sf_dir):
     return last.select("run_id", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
+@query(f"""WITH RECURSIVE {views.ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN iteracion % 11 <> 0 THEN eventos END AS eventos,
+  CASE WHEN iteracion % 11 <> 0 THEN organizadores END AS organizadores FROM it WHERE iteracion <= {ITERATIONS}
+), stops AS (SELECT *, min(CASE WHEN eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS} THEN iteracion END) OVER (PARTITION BY run_id) AS g,
+  min(CASE WHEN eventos IS NULL THEN iteracion END) OVER (PARTITION BY run_id) AS f FROM hist
+), answers AS (SELECT run_id, respuesta, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM ({views.RAW})
+), raw AS (SELECT iteracion AS event_id, run_id, respuesta, eventos, organizadores FROM stops LEFT JOIN answers USING (run_id, iteracion)
+  WHERE (g IS NULL OR iteracion <= g) AND (f IS NULL OR iteracion < f)
+), {views.PARSED}, {views.FOLD}
+SELECT run_id, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
+def fold_history(spark, sf_dir):
+    """The proposals of each measured iteration up to the run's stop, folded; a missing one is empty."""
+    goal = kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS)
+    kept = history.until_stop(views.measured(spark, sf_dir), goal, F.col("eventos").isNull(), ITERATIONS)
+    last = policy.fold(history.with_proposals(kept, views.proposals(spark, sf_dir)))
+    return last.select("run_id", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+
+
 @query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
 def config_trajectory(spark, sf_dir):
     used = policy.trajectory(views.proposals(spark, sf_dir))
@@ -366,19 +383,32 @@ def _drain(spark, stream: DataFrame, mode: str) -> DataFrame:
     return spark.read.parquet(path).select(*stream.columns)
 
 
-@query(f"""{_SCORED} (SELECT date_trunc('day', ts) AS inicio, count(*) AS eventos, count(DISTINCT event_type) AS fuentes,
-  count(*) FILTER (event_type = 'signup') AS organizadores, count(*) FILTER (event_type = 'purchase') AS emails FROM events GROUP BY 1)""")
-def stream_kpi(spark, sf_dir):
+_WINDOWS = """SELECT date_trunc('day', ts) AS inicio, count(*) AS eventos, count(DISTINCT event_type) AS fuentes,
+  count(*) FILTER (event_type = 'signup') AS organizadores, count(*) FILTER (event_type = 'purchase') AS emails FROM events GROUP BY 1"""
+
+
+def _windowed(spark, sf_dir, mode: str) -> DataFrame:
     def prepare(events: DataFrame) -> DataFrame:
         return events.select(
             F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("fuente"),
             F.when(F.col("event_type") == "signup", "x").alias("organizador"), F.when(F.col("event_type") == "purchase", "x").alias("email"),
         )
 
-    done = _drain(spark, streams.windowed_kpi(_stream(spark, sf_dir, prepare)), "complete")
+    done = _drain(spark, streams.windowed_kpi(_stream(spark, sf_dir, prepare)), mode)
     return done.withColumn("inicio", F.col("inicio").cast("timestamp_ntz"))
 
 
+@query(f"{_SCORED} ({_WINDOWS})")
+def stream_kpi(spark, sf_dir):
+    return _windowed(spark, sf_dir, "complete")
+
+
+@query(f"{_SCORED} ({_WINDOWS}) WHERE inicio + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)")
+def stream_kpi_append(spark, sf_dir):
+    """Only windows that the watermark has passed: the last, open ones are not emitted."""
+    return _windowed(spark, sf_dir, "append")
+
+
 @query(ORACLE["new_best"])
 def stream_new_best(spark, sf_dir):
     path = _shared_path(spark, "stream-in")

@@ -69,12 +69,13 @@ def raw_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PROPOSALS = f"""raw AS (
-  SELECT event_id, user_id AS run_id, {_TEXT} AS respuesta, {_K} AS eventos, {_K} % 40 AS organizadores FROM events
-), spans AS (
-  SELECT *, coalesce(nullif(regexp_extract(respuesta, '(?s)\\{{.*\\}}'), ''), respuesta) AS span FROM raw
+RAW = f"SELECT event_id, user_id AS run_id, {_TEXT} AS respuesta, {_K} AS eventos, {_K} % 40 AS organizadores FROM events"
+
+#: The fields of the proposals in ``raw``.
+PARSED = """spans AS (
+  SELECT *, coalesce(nullif(regexp_extract(respuesta, '(?s)\\{.*\\}'), ''), respuesta) AS span FROM raw
 ), prop AS (
-  SELECT *, CASE WHEN NOT json_valid(span) THEN 'UNPARSEABLE' WHEN span = '{{}}' THEN 'EMPTY'
+  SELECT *, CASE WHEN respuesta IS NULL THEN 'EMPTY' WHEN NOT json_valid(span) THEN 'UNPARSEABLE' WHEN span = '{}' THEN 'EMPTY'
                  WHEN json_type(span) = 'OBJECT' THEN 'VALID' ELSE 'NON_OBJECT' END AS clase
   FROM spans
 ), parsed AS (
@@ -91,6 +92,7 @@ PROPOSALS = f"""raw AS (
                    THEN try_cast(replace(trim(vs), '_', '') AS BIGINT) END::BIGINT AS valor_entero,
          CASE WHEN vt = 'ARRAY' THEN from_json(json_extract(span, '$.valor'), '["VARCHAR"]') END AS valor_lista
   FROM parsed)"""
+PROPOSALS = f"raw AS ({RAW}), {PARSED}"
 
 
 def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +101,7 @@ def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: The fold as a recursive query over the numbered steps of each run.
-TRAJECTORY = f"""{PROPOSALS}, steps AS (
+FOLD = """steps AS (
   SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion, clase, valor_lista, clase = 'EMPTY' AS plain,
          CASE WHEN clase = 'UNPARSEABLE' THEN CASE WHEN organizadores < 20 AND eventos > 50 THEN 'ENRIQUECER_EVENTOS' ELSE 'AUMENTAR_BUSQUEDAS' END ELSE coalesce(accion, '') END AS accion,
          CASE WHEN clase = 'UNPARSEABLE' THEN CASE WHEN organizadores < 20 THEN 'organizadores' ELSE 'busquedas_facebook' END ELSE coalesce(parametro, '') END AS parametro,
@@ -130,3 +132,10 @@ TRAJECTORY = f"""{PROPOSALS}, steps AS (
 ), final AS (
   SELECT run_id, max_eventos, busquedas_facebook, timeout, array_to_string(paises, ',') AS paises
   FROM fold QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY iteracion DESC) = 1)"""
+TRAJECTORY = f"{PROPOSALS}, {FOLD}"
+
+
+def measured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``iterations`` where every eleventh could not be measured: its metrics are null."""
+    rows = iterations(spark, sf_dir)
+    return rows.select("run_id", "iteracion", *[F.when(F.col("iteracion") % 11 != 0, F.col(c)).alias(c) for c in kpi.METRIC_COLUMNS])

@@ -1,8 +1,10 @@
 import time
 
 import pytest
+from lumenreef.functions import policy
 from lumenreef.operators import contacts, history, kpi
 from lumenreef.sources import catalog, history as histories
+from lumenreef.streaming import kpi as streams
 from pyspark.sql import functions as F
 
 EDGE = '''id,fuente,organizador,email
@@ -142,3 +144,34 @@ def test_history_json(spark, tmp_path):
     whole.write_text('[{"run_id": 1, "iteracion": 2, "config": {"priorizar_paises": ["Espa\\u00f1a"]}}]')
     back = histories.read_history(spark, str(whole), whole_array=True).first()
     assert back.config.priorizar_paises == ["España"] and back.metricas is None
+
+
+def test_append_mode_emits_closed_windows_and_drops_late_rows(spark, tmp_path):
+    """A window comes out once, with the batch after the one that moved the watermark (10 minutes behind) past its end; rows for it are then too late."""
+    batches = [
+        ["2024-01-01 10:00:00", "2024-01-01 11:00:00", "2024-01-02 09:00:00"],
+        ["2024-01-02 08:00:00", "2024-01-03 00:20:00"],  # out of order, in time
+        ["2024-01-01 23:00:00", "2024-01-02 23:59:00", "2024-01-03 00:05:00"],  # the first is too late
+        ["2024-01-04 00:09:00"],  # does not close the third day
+        ["2024-01-04 00:11:00"],
+    ]
+    source = str(tmp_path / "in")
+    rows = "ts timestamp, fuente string, organizador string, email string"
+    for k, times in enumerate(batches):
+        part = spark.createDataFrame([(t, "a", None, None) for t in times], "ts string, fuente string, organizador string, email string")
+        part.withColumn("ts", F.col("ts").cast("timestamp")).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)  # files are taken in the order of their times
+    stream = spark.readStream.schema(rows).option("maxFilesPerTrigger", 1).parquet(source)
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    writer = streams.windowed_kpi(stream).writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    got = sorted((str(r.inicio)[:10], r.eventos) for r in spark.read.parquet(out).collect())
+    assert got == [("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-03", 2)]
+
+
+def test_history_with_missing_proposals_and_metrics(spark):
+    rows = spark.createDataFrame([(1, 1, 5, 0), (1, 2, 5, 0), (1, 3, None, None), (1, 4, 5, 0), (2, 1, None, None)], "run_id long, iteracion long, eventos long, organizadores long")
+    answers = spark.createDataFrame([(1, 1, '{"accion":"AUMENTAR_TIMEOUT","parametro":"timeout","valor":33}'), (1, 4, '{"accion":"AUMENTAR_TIMEOUT","parametro":"timeout","valor":44}')], "run_id long, iteracion long, respuesta string")
+    kept = history.until_stop(rows, F.col("eventos") >= 99, F.col("eventos").isNull(), 15)
+    got = [tuple(r) for r in policy.fold(history.with_proposals(kept, answers)).select("run_id", "timeout", "busquedas_facebook").collect()]
+    assert got == [(1, 33, 80)]  # the second iteration had no answer: an empty proposal raises the searches
