@@ -79,5 +79,5 @@ def source_coverage(rows: DataFrame, column: str, expected: Sequence[str] = KNOW
     """``source, n, expected``: rows of each source, with expected sources that have none."""
     names = rows.sparkSession.createDataFrame([(s,) for s in expected], "source string")
     counted = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("source")).agg(F.count("*").alias("n"))
-    joined = counted.join(F.broadcast(names.withColumn("expected", F.lit(True))), "source", "full")
+    joined = counted.join(names.withColumn("expected", F.lit(True)), "source", "full")
     return joined.select("source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("expected", F.lit(False)).alias("expected"))
