@@ -17,6 +17,8 @@ FROZEN = {"extraer_contactos": False, "profundidad_busqueda": 3, "buscar_en_grup
 # Documented ranges.
 RANGES = {"max_eventos": (100, 300), "busquedas_facebook": (50, 300), "timeout": (20, 60)}
 ITERATIONS = 15
+#: Blocks of the order in which the rows of a run are numbered.
+BLOCKS = 32
 
 STATE = "struct<max_eventos:bigint,busquedas_facebook:bigint,timeout:bigint,priorizar_paises:array<string>>"
 
@@ -93,10 +95,32 @@ def _by_run(rows: DataFrame) -> DataFrame:
     return rows.groupBy("run_id").agg(ordered.alias("steps"))
 
 
-def numbered(rows: DataFrame, order: str, iterations: int = ITERATIONS) -> DataFrame:
-    """``rows`` with ``iteracion`` from 1, up to the loop's cap on iterations of a run."""
-    number = F.row_number().over(W.partitionBy("run_id").orderBy(order))
-    return rows.withColumn("iteracion", number.cast("bigint")).where(F.col("iteracion") <= iterations)
+def looped(rows: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
+    """``rows`` with each ``iterations`` numbers of a run as a run of its own, one pass of the loop.
+
+    ``run_id`` becomes the pair of itself and ``ciclo`` (from 0), and ``iteracion`` starts at 1 in each.
+    """
+    cycle = F.expr(f"(iteracion - 1) div {iterations}").alias("ciclo")
+    return rows.withColumns({"run_id": F.struct("run_id", cycle), "iteracion": (F.col("iteracion") - 1) % iterations + 1})
+
+
+def numbered(rows: DataFrame, order: str, iterations: int = ITERATIONS, blocks: int = BLOCKS) -> DataFrame:
+    """``rows`` numbered from 1 by the numeric column ``order`` in each run, as ``looped`` runs of ``iterations``.
+
+    A run is numbered by blocks of ``order`` with about equally many rows of the table, each starting from the
+    count of the blocks before, so the rows of a very large run are sorted by many tasks. Null run_ids are one run.
+    """
+    shares = [k / blocks for k in range(1, blocks)]
+    bounds = sorted(set(rows.approxQuantile(order, shares, 0.25 / blocks))) if shares else []
+    below = [F.when(F.col(order) > x, 1).otherwise(0) for x in bounds]
+    marked = rows.withColumn("_block", sum(below, F.lit(0)))
+    counts = marked.groupBy(F.col("run_id").alias("_run"), F.col("_block").alias("_at")).agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy("_run").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.select("_run", "_at", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    number = F.row_number().over(W.partitionBy("run_id", "_block").orderBy(order))
+    same = F.col("run_id").eqNullSafe(F.col("_run")) & (F.col("_block") == F.col("_at"))
+    joined = marked.withColumn("_number", number).join(starts, same)
+    return looped(joined.withColumn("iteracion", F.col("_start") + F.col("_number")), iterations).drop("_run", "_at", "_block", "_start", "_number")
 
 
 def fold(rows: DataFrame, enricher: bool = False) -> DataFrame:

@@ -104,16 +104,19 @@ def _with_config(spark, sf_dir) -> DataFrame:
     """Iteration metrics with the configuration used, where the run has one."""
     used = policy.trajectory(views.proposals(spark, sf_dir))
     used = used.withColumn("paises", F.array_join("priorizar_paises", ",")).drop("priorizar_paises")
-    return views.iterations(spark, sf_dir).join(used, ["run_id", "iteracion"])
+    return policy.looped(views.iterations(spark, sf_dir)).join(used, ["run_id", "iteracion"])
 
 
-_JOINED = f"{views.TRAJECTORY}, {views.ITERATIONS}, both_ AS (SELECT * FROM it JOIN traj USING (run_id, iteracion))"
+#: A run in the results: user and pass of the loop.
+_RUN = "run_id.run_id AS run_id, run_id.ciclo AS ciclo"
+_JOINED = f"{views.TRAJECTORY}, {views.LOOPED_ITERATIONS}, both_ AS (SELECT * FROM cycles JOIN traj USING (run_id, iteracion))"
 
 
-@query(f"""WITH RECURSIVE {_JOINED} SELECT run_id, iteracion, score, max_eventos, busquedas_facebook, timeout, paises FROM both_
+@query(f"""WITH RECURSIVE {_JOINED} SELECT {_RUN}, iteracion, score, max_eventos, busquedas_facebook, timeout, paises FROM both_
   WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY score DESC, iteracion) = 1""")
 def best_config(spark, sf_dir):
-    return history.best_row(_with_config(spark, sf_dir), "max_eventos", "busquedas_facebook", "timeout", "paises")
+    best = history.best_row(_with_config(spark, sf_dir), "max_eventos", "busquedas_facebook", "timeout", "paises")
+    return best.select("run_id.*", "score", "iteracion", "max_eventos", "busquedas_facebook", "timeout", "paises")
 
 
 @query(f"""WITH {views.ITERATIONS}, m AS (SELECT *,
@@ -127,14 +130,14 @@ def history_until_stop(spark, sf_dir):
     return kept.select("run_id", "iteracion", "score")
 
 
-@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM (
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM (
   SELECT *, lag(struct_pack(a := max_eventos, b := busquedas_facebook, c := timeout, d := paises)) OVER w AS p,
          struct_pack(a := max_eventos, b := busquedas_facebook, c := timeout, d := paises) AS q, row_number() OVER w AS n
   FROM traj WINDOW w AS (PARTITION BY run_id ORDER BY iteracion)) WHERE n > 1 AND q IS DISTINCT FROM p""")
 def config_changes(spark, sf_dir):
     used = policy.trajectory(views.proposals(spark, sf_dir)).withColumn("paises", F.array_join("priorizar_paises", ","))
     marked = history.mark_changes(used, "max_eventos", "busquedas_facebook", "timeout", "paises").where("changed")
-    return marked.select("run_id", "iteracion", "max_eventos", "busquedas_facebook", "timeout", "paises")
+    return marked.select("run_id.*", "iteracion", "max_eventos", "busquedas_facebook", "timeout", "paises")
 
 
 _STAGNATION = f"""{views.ITERATIONS}, {_BEST}, since AS (SELECT *, iteracion - coalesce(last_value(CASE WHEN new_best THEN iteracion END IGNORE NULLS)
@@ -190,33 +193,34 @@ def rule_fallback(spark, sf_dir):
     return rows.select("run_id", "iteracion", action.alias("accion"), parameter.alias("parametro"), value.alias("valor"))
 
 
-@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')")
+@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')")
 def config_fold(spark, sf_dir):
     last = policy.fold(views.proposals(spark, sf_dir))
-    return last.select("run_id", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+    return last.select("run_id.*", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
-@query(f"""WITH RECURSIVE {views.ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN iteracion % 11 <> 0 THEN eventos END AS eventos,
-  CASE WHEN iteracion % 11 <> 0 THEN organizadores END AS organizadores FROM it WHERE iteracion <= {ITERATIONS}
+@query(f"""WITH RECURSIVE {views.LOOPED_ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN n % 11 <> 0 THEN eventos END AS eventos,
+  CASE WHEN n % 11 <> 0 THEN organizadores END AS organizadores FROM cycles
 ), stops AS (SELECT *, min(CASE WHEN eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS} THEN iteracion END) OVER (PARTITION BY run_id) AS g,
   min(CASE WHEN eventos IS NULL THEN iteracion END) OVER (PARTITION BY run_id) AS f FROM hist
-), answers AS (SELECT run_id, respuesta, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM ({views.RAW})
+), answers AS (SELECT {views.CYCLE} AS run_id, (n - 1) % 15 + 1 AS iteracion, respuesta
+  FROM (SELECT run_id, respuesta, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS n FROM ({views.RAW}))
 ), raw AS (SELECT iteracion AS event_id, run_id, respuesta, eventos, organizadores FROM stops LEFT JOIN answers USING (run_id, iteracion)
   WHERE (g IS NULL OR iteracion <= g) AND (f IS NULL OR iteracion < f)
-), {views.PARSED}, {views.FOLD}
-SELECT run_id, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
+), {views.PARSED}, looped AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM typed), {views.FOLD}
+SELECT {_RUN}, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
 def fold_history(spark, sf_dir):
     """The proposals of each measured iteration up to the run's stop, folded; a missing one is empty."""
     goal = kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS)
-    kept = history.until_stop(views.measured(spark, sf_dir), goal, F.col("eventos").isNull(), ITERATIONS)
+    kept = history.until_stop(policy.looped(views.measured(spark, sf_dir)), goal, F.col("eventos").isNull(), ITERATIONS)
     last = policy.fold(history.with_proposals(kept, views.proposals(spark, sf_dir)))
-    return last.select("run_id", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+    return last.select("run_id.*", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
-@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
+@query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
 def config_trajectory(spark, sf_dir):
     used = policy.trajectory(views.proposals(spark, sf_dir))
-    return used.select("run_id", "iteracion", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+    return used.select("run_id.*", "iteracion", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
 @query(f"""WITH {views.PROPOSALS} SELECT event_id, array_to_string(list_concat(['P0', 'P9'], list_filter(list_filter(valor_lista,
@@ -227,11 +231,11 @@ def array_append_distinct(spark, sf_dir):
     return parsed.select("event_id", F.array_join(merged, ",").alias("paises"))
 
 
-@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, iteracion, concat_ws(',', CASE WHEN max_eventos NOT BETWEEN 100 AND 300 THEN 'max_eventos' END,
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, iteracion, concat_ws(',', CASE WHEN max_eventos NOT BETWEEN 100 AND 300 THEN 'max_eventos' END,
   CASE WHEN busquedas_facebook NOT BETWEEN 50 AND 300 THEN 'busquedas_facebook' END,
   CASE WHEN timeout NOT BETWEEN 20 AND 60 THEN 'timeout' END) AS fuera FROM traj""")
 def config_range_check(spark, sf_dir):
-    return policy.trajectory(views.proposals(spark, sf_dir)).select("run_id", "iteracion", policy.range_violations().alias("fuera"))
+    return policy.trajectory(views.proposals(spark, sf_dir)).select("run_id.*", "iteracion", policy.range_violations().alias("fuera"))
 
 
 @query(f"""WITH {_STAGNATION} SELECT run_id, iteracion, concat_ws(',',
@@ -335,13 +339,13 @@ def history_json_roundtrip(spark, sf_dir):
     return back.select("run_id", "iteracion", "metricas.eventos", "metricas.score", F.array_join("config.priorizar_paises", ",").alias("paises"))
 
 
-@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT run_id, '{{"max_eventos":' || max_eventos || ',"busquedas_facebook":' || busquedas_facebook || ',"timeout":' || timeout
+@query(f"""WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, '{{"max_eventos":' || max_eventos || ',"busquedas_facebook":' || busquedas_facebook || ',"timeout":' || timeout
   || ',"priorizar_paises":[' || CASE WHEN paises = '' THEN '' ELSE '"' || replace(paises, ',', '","') || '"' END
   || '],"extraer_contactos":false,"agregar_fuentes":[],"profundidad_busqueda":3,"buscar_en_grupos":false}}' AS config FROM final
   WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
 def config_as_json(spark, sf_dir):
     last = policy.fold(views.proposals(spark, sf_dir))
-    return last.select("run_id", histories.as_json(policy.full_config()).alias("config"))
+    return last.select("run_id.*", histories.as_json(policy.full_config()).alias("config"))
 
 
 @query(f"WITH {views.CATALOG} SELECT event_id, fuente, organizador, email FROM cat ORDER BY event_id LIMIT 19")

@@ -96,17 +96,22 @@ PROPOSALS = f"raw AS ({RAW}), {PARSED}"
 
 
 def proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The proposals of each run in order, up to the loop's cap on iterations."""
+    """All proposals in order; each 15 of a user are a run (``run_id`` is the pair of user and ``ciclo``)."""
     return policy.numbered(raw_proposals(spark, sf_dir), "event_id")
 
 
-#: The fold as a recursive query over the numbered steps of each run.
+#: Runs of 15 from a number ``n`` that counts from 1 in each user.
+CYCLE = "{'run_id': run_id, 'ciclo': (n - 1) // 15}"
+NUMBERED = f"""looped AS (
+  SELECT * REPLACE ({CYCLE} AS run_id), (n - 1) % 15 + 1 AS iteracion
+  FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS n FROM typed))"""
+#: The fold as a recursive query over the steps of each run in ``looped``.
 FOLD = """steps AS (
-  SELECT run_id, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion, clase, valor_lista, clase = 'EMPTY' AS plain,
+  SELECT run_id, iteracion, clase, valor_lista, clase = 'EMPTY' AS plain,
          CASE WHEN clase = 'UNPARSEABLE' THEN CASE WHEN organizadores < 20 AND eventos > 50 THEN 'ENRIQUECER_EVENTOS' ELSE 'AUMENTAR_BUSQUEDAS' END ELSE coalesce(accion, '') END AS accion,
          CASE WHEN clase = 'UNPARSEABLE' THEN CASE WHEN organizadores < 20 THEN 'organizadores' ELSE 'busquedas_facebook' END ELSE coalesce(parametro, '') END AS parametro,
          CASE WHEN clase = 'UNPARSEABLE' THEN CASE WHEN organizadores >= 20 THEN 80 END ELSE valor_entero END AS n
-  FROM typed QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY event_id) <= 15
+  FROM looped
 ), named AS (
   SELECT *, CASE WHEN clase = 'NON_OBJECT' THEN 'none' WHEN plain THEN 'other'
                  WHEN accion = 'AUMENTAR_BUSQUEDAS' AND parametro = 'busquedas_facebook' THEN 'searches'
@@ -132,7 +137,9 @@ FOLD = """steps AS (
 ), final AS (
   SELECT run_id, max_eventos, busquedas_facebook, timeout, array_to_string(paises, ',') AS paises
   FROM fold QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY iteracion DESC) = 1)"""
-TRAJECTORY = f"{PROPOSALS}, {FOLD}"
+TRAJECTORY = f"{PROPOSALS}, {NUMBERED}, {FOLD}"
+#: ``it`` with the runs of ``looped``: days are the numbers.
+LOOPED_ITERATIONS = f"{ITERATIONS}, cycles AS (SELECT * REPLACE ({CYCLE} AS run_id, (n - 1) % 15 + 1 AS iteracion) FROM (SELECT *, iteracion AS n FROM it))"
 
 
 def measured(spark: SparkSession, sf_dir: str) -> DataFrame:

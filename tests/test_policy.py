@@ -153,3 +153,25 @@ def test_rejects_keep_their_iteration(spark):
     got = policy.trajectory(rows_of(spark, texts)).orderBy("iteracion").collect()
     assert [(r.iteracion, r.timeout, r.busquedas_facebook) for r in got] == [(1, 20, 50), (2, 20, 50), (3, 30, 50), (4, 30, 50)]
     assert policy.fold(rows_of(spark, ["[1]", "[2]"])).count() == 0
+
+
+def test_each_fifteen_proposals_are_a_run(spark):
+    rng = random.Random(4)
+    ids = rng.sample(range(10_000), 400)
+    data = [(rng.choice([1, 1, 1, 2, None]), k) for k in ids]
+    rows = spark.createDataFrame(data, "run_id long, event_id long")
+    seen, want = {}, []
+    for run, k in sorted(data, key=lambda x: x[1]):
+        n = seen[run] = seen.get(run, 0) + 1
+        want.append((k, run, (n - 1) // 15, (n - 1) % 15 + 1))
+    for blocks in (1, 7, 64):
+        got = policy.numbered(rows, "event_id", blocks=blocks).select("event_id", "run_id.run_id", "run_id.ciclo", "iteracion")
+        assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert policy.numbered(rows.where("false"), "event_id").count() == 0
+
+
+def test_one_large_run_is_folded_in_passes(spark):
+    texts = [p("AUMENTAR_TIMEOUT", "timeout", k) for k in range(40)]
+    rows = rows_of(spark, texts).withColumnRenamed("iteracion", "event_id")
+    got = policy.fold(policy.numbered(rows, "event_id")).select("run_id.*", "timeout").collect()
+    assert sorted(tuple(r) for r in got) == [(1, 0, 14), (1, 1, 29), (1, 2, 39)]
