@@ -1,16 +1,23 @@
 """SimHash near-duplicates by multi-index hashing.
 
-Fingerprints are cut into segments. Two fingerprints that differ in at most
-``RADIUS`` bits differ in at most one bit of some segment when there are three
-segments (4 // 3 = 1), so a table keyed by segment values, looked up with every
-value at distance 0 or 1, meets every link. Of a distance-1 pair, one side has the
-bit set: only set bits are cleared for look-ups, which halves the keys. All work is
+Fingerprints are cut into segments. Two fingerprints that differ in at most ``radius``
+bits differ in at most ``radius // m`` bits of some of ``m`` segments. A ``Layout`` is a
+number of segments and how their small Hamming balls are looked up:
+
+* ``reach`` 1: a table holds the values, and each fingerprint looks up its value with one
+  bit cleared. Of a pair that differs in one bit one side has the bit set, so set bits do.
+* ``reach`` 2: a table holds the whole ball of radius 1 about each value. Two values that
+  differ in two bits have a value of both balls between them.
+
+Wider segments are rarer to share by chance, so ``layout_for`` takes more rows a
+fingerprint for larger tables; every layout finds every link. All work is
 on distinct fingerprints; exact copies join their class by equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,12 +31,40 @@ from lumenreef.llm._scratch import materialise
 
 SHINGLE = 4
 RADIUS = 4
-#: (first bit, bits) of each segment; RADIUS // len(SEGMENTS) is 1.
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
 #: Rows of a look-up key beyond which the key's rows are dealt into chunk pairs.
 HOT_ROWS = 20_000
 #: Fingerprint pairs compared in one numpy step.
 PAIRS = 1 << 21
+#: Comparisons taken to cost as much as a row of the look-up table that is written, shuffled and sorted.
+COMPARISONS_A_ROW = 200
+
+
+class Layout(NamedTuple):
+    """``parts`` segments in each of which up to ``reach`` bits may differ."""
+
+    parts: int
+    reach: int
+
+    @property
+    def segments(self) -> list[tuple[int, int]]:
+        """(first bit, bits) of each segment."""
+        cuts = [64 * k // self.parts for k in range(self.parts + 1)]
+        return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
+
+    def cost(self, n: int) -> float:
+        """Expected work for each of ``n`` even fingerprints, in rows."""
+        work = 0.0
+        for _, width in self.segments:
+            table, looked_up = ((1, 0), (1, width / 2), (width + 1, 0))[self.reach]
+            met = table * (table / 2 + looked_up) * n / 2.0**width
+            work += table + looked_up + met / COMPARISONS_A_ROW
+        return work
+
+
+def layout_for(n: int, radius: int) -> Layout:
+    """The cheapest layout that finds every link of ``n`` fingerprints."""
+    fit = [Layout(m, radius // m) for m in range(1, max(1, radius) + 1) if radius // m <= 2]
+    return min(fit, key=lambda x: x.cost(n))
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -63,24 +98,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A table row and the cleared-bit look-ups of each fingerprint and segment."""
-    for batch in slices(batches, 1 << 14):
-        fp = batch.column("fp").to_numpy()
-        bits = fp.view(np.uint64)
-        for k, (first, width) in enumerate(SEGMENTS):
-            value = (bits >> np.uint64(first)) & np.uint64((1 << width) - 1)
-            tag = np.uint64(k << 32)
-            keys, owners, probes = [(value | tag)], [fp], [np.zeros(len(fp), bool)]
-            for j in range(width):
-                one = (value >> np.uint64(j)) & np.uint64(1) == 1
-                keys.append((value[one] ^ np.uint64(1 << j)) | tag)
-                owners.append(fp[one])
-                probes.append(np.ones(int(one.sum()), bool))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owners)), pa.array(np.concatenate(probes))],
-                names=["key", "fp", "probe"],
-            )
+def _keys(layout: Layout):
+    """The rows of each fingerprint and segment: its table entries, then its look-ups (``probe``)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1 << 14):
+            fp = batch.column("fp").to_numpy()
+            bits = fp.view(np.uint64)
+            for k, (first, width) in enumerate(layout.segments):
+                value = (bits >> np.uint64(first)) & np.uint64((1 << width) - 1)
+                keys, owners, probes = [value], [fp], [np.zeros(len(fp), bool)]
+                for j in range(width if layout.reach else 0):
+                    bit = np.uint64(1 << j)
+                    some = np.full(len(fp), True) if layout.reach == 2 else value & bit != 0
+                    keys.append(value[some] ^ bit)
+                    owners.append(fp[some])
+                    probes.append(np.full(len(keys[-1]), layout.reach == 1))
+                key = np.concatenate(keys) | np.uint64(k << 32)  # of two segments or more none is longer
+                columns = [key.view(np.int64), np.concatenate(owners), np.concatenate(probes)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "fp", "probe"])
+
+    return run
 
 
 class _Forest:
@@ -178,15 +216,15 @@ def _spread(keys: DataFrame) -> DataFrame:
     return plain.unionByName(split)
 
 
-def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, layout: Layout | None = None) -> DataFrame:
     """``a, b``: links between distinct fingerprints that keep every connection.
 
     ``fps`` has one row for each distinct ``fp``. Every pair of table matches is
-    compared in full; a link that closes a cycle within a task is not returned.
+    compared in full; a link that closes a cycle within a task is not returned. The layout is
+    the cheapest one for the number of rows, unless it is given.
     """
-    if radius // len(SEGMENTS) > 1:
-        raise ValueError("with three segments the radius is at most 5")
-    keys = _spread(materialise(fps.select("fp").mapInArrow(_keys, "key long, fp long, probe boolean"), "keys"))
+    layout = layout or layout_for(fps.count(), radius)
+    keys = _spread(materialise(fps.select("fp").mapInArrow(_keys(layout), "key long, fp long, probe boolean"), "keys"))
     parts = keys.repartition("key").sortWithinPartitions("key", "probe")
     return parts.mapInArrow(_verify(radius), "a long, b long")
 
