@@ -12,11 +12,14 @@ from lumenreef.llm import (
     ann_search,
     license_scan,
     line_dedup,
+    mixing,
     packing,
+    periodic_runs,
     quality_classifier,
     quality_rules,
     sentencepiece_bpe,
     simhash,
+    spelling_groups,
     toxicity,
     url_filter,
 )
@@ -66,6 +69,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups.spelling_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_report(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -82,9 +97,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_ann_search": op8_ann_search,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_line_dedup": op10_line_dedup,
+        "op11_spelling_groups": op11_spelling_groups,
+        "op12_mixing": op12_mixing,
+        "op13_periodic_runs": op13_periodic_runs,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": quality_rules.REPORT_SQL}
+    return {"op2_quality_rules": quality_rules.REPORT_SQL, "op11_spelling_groups": spelling_groups.REPORT_SQL}

@@ -10,7 +10,7 @@ DIR = "/root/testdata/sf0.001"
 def test_names():
     found = registry.queries()
     assert [n for n in found if n.startswith("op")] == sorted((n for n in found if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len([n for n in found if n.startswith("op")]) == 10 and "pipeline" in entry.queries()
+    assert len([n for n in found if n.startswith("op")]) == 13 and "pipeline" in entry.queries()
 
 
 def test_quality_rules_equal_sql(spark):
