@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 VALID, EMPTY, UNPARSEABLE, NON_OBJECT = "VALID", "EMPTY", "UNPARSEABLE", "NON_OBJECT"
 #: Canonical JSON of a value that counts as no proposal at all.
 _FALSY = r'^(\{\}|\[\]|null|""|false|-?0(\.0*)?([eE][+-]?[0-9]+)?)$'
-_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
 def json_span(text: Column) -> Column:
@@ -36,14 +35,12 @@ def parse_proposals(rows: DataFrame, text: str = "respuesta") -> DataFrame:
     """``rows`` with ``clase, accion, parametro, valor_texto, valor_entero, valor_lista, razon``.
 
     Field texts are empty where absent and the reason ``Sin razón``. A null text is
-    an empty proposal (no answer came). Of repeated JSON keys the last counts.
+    an empty proposal (no answer came). Of repeated JSON keys the last counts (a setting of ``session.configure``).
     """
-    rows.sparkSession.conf.set(_KEYS, "true")
-    span = json_span(F.col(text))
-    wrapped = F.concat(F.lit("["), span, F.lit("]"))
+    wrapped = F.concat(F.lit("["), json_span(F.col(text)), F.lit("]"))
     parsed = F.when(F.json_array_length(wrapped) == 1, F.try_parse_json(wrapped))
-    df = rows.withColumn("_s", span).withColumn("_p", parsed).withColumn("_v", F.try_variant_get("_p", "$[0]", "variant"))
-    v, shown = F.col("_v"), F.to_json("_v")
+    df = rows.withColumn("_p", parsed).withColumn("_v", F.try_variant_get("_p", "$[0]", "variant"))
+    shown = F.to_json("_v")
     clase = (
         F.when(F.col(text).isNull(), EMPTY)
         .when(F.col("_p").isNull(), UNPARSEABLE)
@@ -51,24 +48,26 @@ def parse_proposals(rows: DataFrame, text: str = "respuesta") -> DataFrame:
         .when(shown.startswith("{"), VALID)
         .otherwise(NON_OBJECT)
     )
-    valor = F.try_variant_get(v, "$.valor", "variant")
-    df = df.withColumn("clase", clase).withColumn("_w", F.when(F.col("clase") == VALID, valor))
+    # Class and parsed value come out of a list of one, so a filter on what is read from them is not pushed below, where it
+    # would parse again; fields that nobody asks for are not read.
+    df = df.select(*rows.columns, F.inline(F.array(F.struct(clase.alias("clase"), F.col("_v").alias("_v")))))
+    object_ = F.when(F.col("clase") == VALID, F.col("_v"))
+    valor = F.try_variant_get(object_, "$.valor", "variant")
 
     def field(name: str, default: str) -> Column:
-        return F.when(F.col("clase") == VALID, F.coalesce(F.try_variant_get(v, f"$.{name}", "string"), F.lit(default)))
+        return F.when(F.col("clase") == VALID, F.coalesce(F.try_variant_get("_v", f"$.{name}", "string"), F.lit(default)))
 
-    listed = F.schema_of_variant("_w").startswith("ARRAY")
-    fields = F.struct(
-        F.col("clase").alias("clase"),
+    listed = F.schema_of_variant(valor).startswith("ARRAY")
+    return df.select(
+        *rows.columns,
+        "clase",
         field("accion", "").alias("accion"),
         field("parametro", "").alias("parametro"),
-        F.try_variant_get("_w", "$", "string").alias("valor_texto"),
-        as_integer(F.col("_w")).alias("valor_entero"),
-        F.when(listed, F.coalesce(F.try_variant_get("_w", "$", "array<string>"), F.array().cast("array<string>"))).alias("valor_lista"),
+        F.try_variant_get(object_, "$.valor", "string").alias("valor_texto"),
+        as_integer(valor).alias("valor_entero"),
+        F.when(listed, F.coalesce(F.try_variant_get(object_, "$.valor", "array<string>"), F.array().cast("array<string>"))).alias("valor_lista"),
         field("razon", "Sin razón").alias("razon"),
     )
-    # Fields come out of a list of one, so a filter on one of them is not pushed below and does not parse again.
-    return df.select(*rows.columns, F.inline(F.array(fields)))
 
 
 def rule_fallback(few_organisers: int = 20, many_events: int = 50) -> tuple[Column, Column, Column]:

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +11,10 @@ from pyspark.sql import functions as F
 from lumenreef.functions import policy, proposals
 from lumenreef.operators import contacts, history, kpi
 from lumenreef.plans import views
+from lumenreef.session import configure, shared_path
 from lumenreef.sources import catalog as catalogs
 from lumenreef.sources import history as histories
+from lumenreef.streaming import history as history_streams
 from lumenreef.streaming import kpi as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,7 +32,7 @@ def query(sql: str | None = None):
     """Register a query under its function's name, with its SQL."""
 
     def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
+        QUERIES[f.__name__] = wraps(f)(lambda spark, sf_dir: f(configure(spark), sf_dir))
         if sql is not None:
             ORACLE[f.__name__] = sql
         return f
@@ -39,15 +40,6 @@ def query(sql: str | None = None):
     return add
 
 
-def _shared_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that the cluster shares; a temporary one where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "file://" + tempfile.mkdtemp(prefix="spark-lumenreef-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
-
-
 _KPI = """count(*) AS eventos, count(DISTINCT fuente) AS fuentes, count(organizador) AS organizadores, count(email) AS emails"""
 _SCORED = "SELECT *, eventos + organizadores * 2 + emails * 3 + fuentes * 10 AS score FROM"
 
@@ -102,7 +94,7 @@ def new_best(spark, sf_dir):
 
 def _with_config(spark, sf_dir) -> DataFrame:
     """Iteration metrics with the configuration used, where the run has one."""
-    used = policy.trajectory(views.proposals(spark, sf_dir))
+    used = policy.trajectory(views.proposals(spark, sf_dir), levels=1)
     used = used.withColumn("paises", F.array_join("priorizar_paises", ",")).drop("priorizar_paises")
     return policy.looped(views.iterations(spark, sf_dir)).join(used, ["run_id", "iteracion"])
 
@@ -135,7 +127,7 @@ def history_until_stop(spark, sf_dir):
          struct_pack(a := max_eventos, b := busquedas_facebook, c := timeout, d := paises) AS q, row_number() OVER w AS n
   FROM traj WINDOW w AS (PARTITION BY run_id ORDER BY iteracion)) WHERE n > 1 AND q IS DISTINCT FROM p""")
 def config_changes(spark, sf_dir):
-    used = policy.trajectory(views.proposals(spark, sf_dir)).withColumn("paises", F.array_join("priorizar_paises", ","))
+    used = policy.trajectory(views.proposals(spark, sf_dir), levels=1).withColumn("paises", F.array_join("priorizar_paises", ","))
     marked = history.mark_changes(used, "max_eventos", "busquedas_facebook", "timeout", "paises").where("changed")
     return marked.select("run_id.*", "iteracion", "max_eventos", "busquedas_facebook", "timeout", "paises")
 
@@ -195,10 +187,35 @@ def rule_fallback(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')")
 def config_fold(spark, sf_dir):
-    last = policy.fold(views.proposals(spark, sf_dir))
+    last = policy.fold(views.proposals(spark, sf_dir), levels=1)
     return last.select("run_id.*", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
+#: All proposals of a user as one run, in the order of their ids.
+_LONG = f"{views.PROPOSALS}, looped AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM typed), {views.FOLD}"
+_NUMBERS = "max_eventos, busquedas_facebook, timeout, paises"
+_LONG_TRAJECTORY = f"WITH RECURSIVE {_LONG} SELECT run_id, event_id, {_NUMBERS} FROM traj JOIN looped USING (run_id, iteracion)"
+
+
+def _long_runs(spark, sf_dir) -> DataFrame:
+    return views.raw_proposals(spark, sf_dir).withColumnRenamed("event_id", "iteracion")
+
+
+def _shown(df: DataFrame, *key: str) -> DataFrame:
+    return df.select(*key, "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
+
+
+@query(f"WITH RECURSIVE {_LONG} SELECT run_id, {_NUMBERS} FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')")
+def fold_long_runs(spark, sf_dir):
+    """Runs of any length as a tree of aggregates, without numbering their steps."""
+    return _shown(policy.fold(_long_runs(spark, sf_dir)), "run_id")
+
+
+@query(_LONG_TRAJECTORY)
+def trajectory_long_runs(spark, sf_dir):
+    return _shown(policy.trajectory(_long_runs(spark, sf_dir)).withColumnRenamed("iteracion", "event_id"), "run_id", "event_id")
+
+
 @query(f"""WITH RECURSIVE {views.LOOPED_ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN n % 11 <> 0 THEN eventos END AS eventos,
   CASE WHEN n % 11 <> 0 THEN organizadores END AS organizadores FROM cycles
 ), stops AS (SELECT *, min(CASE WHEN eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS} THEN iteracion END) OVER (PARTITION BY run_id) AS g,
@@ -213,13 +230,13 @@ def fold_history(spark, sf_dir):
     """The proposals of each measured iteration up to the run's stop, folded; a missing one is empty."""
     goal = kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS)
     kept = history.until_stop(policy.looped(views.measured(spark, sf_dir)), goal, F.col("eventos").isNull(), ITERATIONS)
-    last = policy.fold(history.with_proposals(kept, views.proposals(spark, sf_dir)))
+    last = policy.fold(history.with_proposals(kept, views.proposals(spark, sf_dir)), levels=1)
     return last.select("run_id.*", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
 @query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
 def config_trajectory(spark, sf_dir):
-    used = policy.trajectory(views.proposals(spark, sf_dir))
+    used = policy.trajectory(views.proposals(spark, sf_dir), levels=1)
     return used.select("run_id.*", "iteracion", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
@@ -235,7 +252,7 @@ def array_append_distinct(spark, sf_dir):
   CASE WHEN busquedas_facebook NOT BETWEEN 50 AND 300 THEN 'busquedas_facebook' END,
   CASE WHEN timeout NOT BETWEEN 20 AND 60 THEN 'timeout' END) AS fuera FROM traj""")
 def config_range_check(spark, sf_dir):
-    return policy.trajectory(views.proposals(spark, sf_dir)).select("run_id.*", "iteracion", policy.range_violations().alias("fuera"))
+    return policy.trajectory(views.proposals(spark, sf_dir), levels=1).select("run_id.*", "iteracion", policy.range_violations().alias("fuera"))
 
 
 @query(f"""WITH {_STAGNATION} SELECT run_id, iteracion, concat_ws(',',
@@ -300,7 +317,7 @@ def union_catalogs(spark, sf_dir):
 
 
 def _as_csv(spark, df: DataFrame) -> str:
-    return catalogs.write_csv(df, _shared_path(spark, "catalog"), 1)
+    return catalogs.write_csv(df, shared_path(spark, "catalog"), 1)
 
 
 @query(f"WITH {views.CATALOG} SELECT event_id::VARCHAR AS event_id, fuente, organizador, email FROM cat")
@@ -333,7 +350,7 @@ def history_json_roundtrip(spark, sf_dir):
     )
     rows = views.iterations(spark, sf_dir)
     rows = rows.select("run_id", "iteracion", config.alias("config"), F.struct(*kpi.METRIC_COLUMNS).alias("metricas"))
-    path = _shared_path(spark, "history")
+    path = shared_path(spark, "history")
     histories.write_history(rows, path)
     back = histories.read_history(spark, path)
     return back.select("run_id", "iteracion", "metricas.eventos", "metricas.score", F.array_join("config.priorizar_paises", ",").alias("paises"))
@@ -344,7 +361,7 @@ def history_json_roundtrip(spark, sf_dir):
   || '],"extraer_contactos":false,"agregar_fuentes":[],"profundidad_busqueda":3,"buscar_en_grupos":false}}' AS config FROM final
   WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
 def config_as_json(spark, sf_dir):
-    last = policy.fold(views.proposals(spark, sf_dir))
+    last = policy.fold(views.proposals(spark, sf_dir), levels=1)
     return last.select("run_id.*", histories.as_json(policy.full_config()).alias("config"))
 
 
@@ -368,7 +385,7 @@ def render_summary(spark, sf_dir):
 
 def _stream(spark, sf_dir, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows written in the order of time and read back as a stream, in one or more micro-batches."""
-    path = _shared_path(spark, "stream-in")
+    path = shared_path(spark, "stream-in")
     rows = prepare(views.table(spark, sf_dir, "events"))
     rows.write.parquet(path)
     return spark.readStream.schema(rows.schema).parquet(path)
@@ -376,13 +393,13 @@ def _stream(spark, sf_dir, prepare: Callable[[DataFrame], DataFrame]) -> DataFra
 
 def _drain(spark, stream: DataFrame, mode: str) -> DataFrame:
     """Run a stream over all that is there and read its table."""
-    path = _shared_path(spark, "stream-out")
+    path = shared_path(spark, "stream-out")
 
     def save(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(path if mode == "complete" else f"{path}/batch={number}")
 
     spark.createDataFrame([], stream.schema).write.parquet(path if mode == "complete" else f"{path}/batch=-1")
-    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", _shared_path(spark, "stream-state"))
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", shared_path(spark, "stream-state"))
     writer.foreachBatch(save).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(path).select(*stream.columns)
 
@@ -415,8 +432,47 @@ def stream_kpi_append(spark, sf_dir):
 
 @query(ORACLE["new_best"])
 def stream_new_best(spark, sf_dir):
-    path = _shared_path(spark, "stream-in")
+    path = shared_path(spark, "stream-in")
     rows = views.iterations(spark, sf_dir).select("run_id", "iteracion", "score")
     rows.repartition("run_id").write.parquet(path)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return _drain(spark, streams.stream_new_best(spark.readStream.schema(rows.schema).parquet(path)), "append")
+
+
+def _fed(spark, rows: DataFrame, time: str = "ts") -> DataFrame:
+    """``rows`` as a stream, with one more row (no run has its id, -1) long after them, so that the watermark passes them all."""
+    types = {f.name: f.dataType for f in rows.schema}
+    end = rows.agg((F.max(time) + F.expr("INTERVAL 30 DAYS")).alias(time))
+    ids = {"run_id": -1, "iteracion": 0}  # not null: filters on keys are pushed below the watermark
+    end = end.select(*[F.col(n) if n == time else F.lit(ids.get(n)).cast(t).alias(n) for n, t in types.items()])
+    path = shared_path(spark, "stream-in")
+    rows.unionByName(end).write.parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+@query(f"""WITH answers AS (SELECT user_id AS run_id, day(ts)::BIGINT AS iteracion, count(*) AS eventos, min(event_id) AS event_id FROM events GROUP BY ALL)
+SELECT run_id, iteracion, a.eventos, CASE WHEN event_id % 4 <> 0 THEN respuesta END AS respuesta FROM answers a JOIN ({views.RAW}) USING (event_id, run_id)""")
+def stream_proposals(spark, sf_dir):
+    """Each day of a user is an iteration; its proposal comes an hour later, and of each fourth none comes."""
+    day = F.timestamp_seconds(F.col("iteracion") * 86400)
+    events = views.table(spark, sf_dir, "events").select("event_id", F.day("ts").cast("bigint").alias("iteracion"))
+    days = views.raw_proposals(spark, sf_dir).join(events, "event_id").groupBy("run_id", "iteracion")
+    days = days.agg(F.count("*").alias("eventos"), F.min("event_id").alias("_e"), F.min_by("respuesta", "event_id").alias("respuesta"))
+    rows = _fed(spark, days.select("run_id", "iteracion", "eventos", day.alias("ts")))
+    answers = _fed(spark, days.where("_e % 4 <> 0").select("run_id", "iteracion", (day + F.expr("INTERVAL 1 HOUR")).alias("ts"), "respuesta"))
+    joined = history_streams.with_proposals(rows, answers, wait="2 hours")
+    return _drain(spark, joined.drop("ts"), "append").where("run_id <> -1")
+
+
+@query(_LONG_TRAJECTORY)
+def stream_trajectory(spark, sf_dir):
+    """The configurations of ``trajectory_long_runs`` from a stream; the ids of the proposals are seconds of its time."""
+    rows = _long_runs(spark, sf_dir).withColumn("ts", F.timestamp_seconds(F.col("iteracion") + 10**9)).orderBy(F.xxhash64("iteracion"))
+    done = _drain(spark, history_streams.trajectory(_fed(spark, rows)), "append").where("run_id <> -1")
+    return _shown(done.withColumnRenamed("iteracion", "event_id"), "run_id", "event_id")
+
+
+@query(ORACLE["new_best"])
+def stream_new_best_unordered(spark, sf_dir):
+    """Iterations that arrive in the order of a hash, not of their days."""
+    rows = views.iterations(spark, sf_dir).select("run_id", "iteracion", "score", F.timestamp_seconds(F.col("iteracion") * 86400).alias("ts"))
+    return _drain(spark, history_streams.new_best(_fed(spark, rows.orderBy(F.xxhash64("run_id", "iteracion")))), "append").where("run_id <> -1")

@@ -9,6 +9,9 @@ sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 
 
+from lumenreef.session import configure  # noqa: E402  (the path is set above)
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (
@@ -20,5 +23,5 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    yield session
+    yield configure(session)
     session.stop()

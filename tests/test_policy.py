@@ -164,8 +164,8 @@ def test_each_fifteen_proposals_are_a_run(spark):
     for run, k in sorted(data, key=lambda x: x[1]):
         n = seen[run] = seen.get(run, 0) + 1
         want.append((k, run, (n - 1) // 15, (n - 1) % 15 + 1))
-    for blocks in (1, 7, 64):
-        got = policy.numbered(rows, "event_id", blocks=blocks).select("event_id", "run_id.run_id", "run_id.ciclo", "iteracion")
+    for width in (100_000, 500, 1):
+        got = policy.numbered(rows, "event_id", width=width).select("event_id", "run_id.run_id", "run_id.ciclo", "iteracion")
         assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert policy.numbered(rows.where("false"), "event_id").count() == 0
 
@@ -175,3 +175,60 @@ def test_one_large_run_is_folded_in_passes(spark):
     rows = rows_of(spark, texts).withColumnRenamed("iteracion", "event_id")
     got = policy.fold(policy.numbered(rows, "event_id")).select("run_id.*", "timeout").collect()
     assert sorted(tuple(r) for r in got) == [(1, 0, 14), (1, 1, 29), (1, 2, 39)]
+
+
+def random_steps(rng, count):
+    """Proposals of all kinds, also far above the caps and next to the limits of 64 bits."""
+    actions = ["AUMENTAR_BUSQUEDAS", "AUMENTAR_MAX_EVENTOS", "AUMENTAR_TIMEOUT", "AGREGAR_PAISES", "X"]
+    values = ["80", 70, -500, 299, 10**6, 2**63 - 1, "z", "z", "z", ["A", "B", "A"], ["C"], [f"P{rng.randrange(9)}"], [], None]
+    names = {"AUMENTAR_BUSQUEDAS": "busquedas_facebook", "AUMENTAR_MAX_EVENTOS": "max_eventos", "AUMENTAR_TIMEOUT": "timeout"}
+    made = []
+    for _ in range(count):
+        action = rng.choice(actions)
+        made.append(rng.choice(["{}", "nada", "[3]", *[p(action, names.get(action, "p"), rng.choice(values))] * 9]))
+    return made
+
+
+def test_runs_of_any_length_are_composed_as_they_are_folded(spark):
+    """Blocks of three numbers on several levels, positions with gaps and below zero, a run without id."""
+    rng = random.Random(9)
+    data, texts = [], {}
+    for run, count in ((1, 1), (2, 7), (3, 260), (None, 90)):
+        at = sorted(rng.sample(range(-60, 600), count))
+        texts[run] = list(zip(at, random_steps(rng, count)))
+        data += [(run, k, t, 60, 30) for k, t in texts[run]]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "run_id long, iteracion long, respuesta string, eventos long, organizadores long")
+    done = policy.steps(df)
+    for levels, width in ((1, 1), (2, 40), (5, 3)):
+        whole = policy.composed(done, levels, width).select("run_id", policy.applied(policy.initial(), F.col("effect")).alias("c"))
+        got = {r.run_id: (r.max_eventos, r.busquedas_facebook, r.timeout, list(r.priorizar_paises)) for r in whole.select("run_id", "c.*").collect()}
+        assert got == {run: fold_plain([t for _, t in listed], 60, 30, False) for run, listed in texts.items()}
+        used = policy.composed_before(done, levels, width).select("run_id", "iteracion", policy.applied(policy.initial(), F.col("effect")).alias("c"))
+        before = {(r.run_id, r.iteracion): (r.max_eventos, r.busquedas_facebook, r.timeout, list(r.priorizar_paises)) for r in used.select("run_id", "iteracion", "c.*").collect()}
+        assert before == {(run, k): fold_plain([t for _, t in listed[:i]], 60, 30, False) for run, listed in texts.items() for i, (k, _) in enumerate(listed)}
+
+
+def test_one_run_of_ten_million_steps(spark):
+    """Steps without text, so that the fold and not the parser is timed: no task gets more than a block."""
+    n = 10_000_000
+    rules = {"max_eventos": (50, 300, 1000), "busquedas_facebook": (30, 300, 997), "timeout": (5, 60, 991)}
+
+    def number(name):
+        by, cap, every = rules[name]
+        set_ = F.col("id") % every == 0
+        return F.struct(F.when(set_, F.col("id") % 500).alias("fixed"), F.when(set_, 0).otherwise(by).alias("add"), F.when(~set_, cap).alias("cap")).alias(name)
+
+    listed = F.struct((F.col("id") % 4001 == 0).alias("replaced"), F.when(F.col("id") % 7 == 0, F.array(F.concat(F.lit("P"), F.col("id") % 5))).otherwise(F.array()).cast("array<string>").alias("items"))
+    made = F.struct(*[number(k) for k in rules], listed.alias("priorizar_paises")).cast(policy.EFFECT)
+    rows = spark.range(n).repartition(8).select(F.lit(1).alias("run_id"), F.col("id").alias("iteracion"), made.alias("effect"), F.lit(True).alias("counts"))
+    got = policy.composed(rows).select(policy.applied(policy.initial(), F.col("effect")).alias("c")).select("c.*").first()
+    for name, (by, cap, every) in rules.items():
+        last = (n - 1) // every * every
+        assert got[name] == (last % 500 if last == n - 1 else min(last % 500 + by * (n - 1 - last), cap))
+    start = (n - 1) // 4001 * 4001
+    want = [f"P{start % 5}"] if start % 7 == 0 else []
+    for k in range(start + 1, n):
+        if k % 7 == 0 and f"P{k % 5}" not in want:
+            want.append(f"P{k % 5}")
+    assert got.priorizar_paises == want
