@@ -31,33 +31,52 @@ _WORD = regex.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 class Notice:
     """A phrase of words, its label, and how many edits a match may have.
 
-    ``base`` marks phrases whose exact places are counted on their own. ``must`` are words of
-    the phrase that tell it from others: they stand unchanged in every match.
+    ``base`` marks phrases whose exact places are counted on their own. ``names`` are words of a phrase that
+    tell it from others and are short beside the edits allowed: in a match each stands unchanged, alone or joined with its
+    neighbours, or, unless ``exact``, as a word with the same first letter that is off by one edit or one swap of neighbours.
     """
 
     label: str
     phrase: str
     edits: int
     base: bool = False
-    must: str = ""
+    names: tuple[str, ...] = ()
+    exact: bool = False
+
+    def named_in(self, text: str) -> bool:
+        """True if all names stand in a matched text."""
+        if self.exact:
+            return all(f" {name} " in f" {text} " for name in self.names)
+        return all(name in text or any(one_slip(name, word) for word in text.split()) for name in self.names)
+
+
+def one_slip(a: str, b: str) -> bool:
+    """True if two words with one first letter differ by at most one edit, or by a swap of two neighbours."""
+    if abs(len(a) - len(b)) > 1 or a[:1] != b[:1]:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    x, y = a[i:], b[i:]
+    return x[1:] == y[1:] or x[1:] == y or x == y[1:] or (x[:2] == y[:2][::-1] and x[2:] == y[2:])
 
 
 # Notice phrases in common use, with their labels.
 NOTICES: tuple[Notice, ...] = (
-    Notice("mit", "mit license", 1, base=True, must="mit"),
-    Notice("apache", "apache license", 1, base=True, must="apache"),
-    Notice("gpl", "general public license", 2, base=True, must="general public"),
-    Notice("mit", "released under the mit license", 3, must="mit"),
+    Notice("mit", "mit license", 1, base=True, names=("mit",), exact=True),
+    Notice("apache", "apache license", 1, base=True, names=("apache",)),
+    Notice("gpl", "general public license", 2, base=True, names=("general", "public")),
+    Notice("mit", "released under the mit license", 3, names=("mit",)),
     Notice("mit", "permission is hereby granted free of charge to any person obtaining a copy", 6),
-    Notice("apache", "licensed under the apache license version 2 0", 4, must="apache"),
+    Notice("apache", "licensed under the apache license version 2 0", 4),
     Notice("gpl", "this work is licensed under the gnu general public license", 5),
-    Notice("lgpl", "gnu lesser general public license", 3, must="lesser general public"),
+    Notice("lgpl", "gnu lesser general public license", 3),
     Notice("bsd", "redistribution and use in source and binary forms", 4),
-    Notice("mpl", "mozilla public license", 2, must="mozilla"),
-    Notice("cc-by-nc", "licensed under cc by nc", 2, must="cc by nc"),
-    Notice("cc", "creative commons attribution", 2, must="creative commons"),
+    Notice("mpl", "mozilla public license", 2, names=("mozilla",)),
+    Notice("cc-by-nc", "licensed under cc by nc", 2, names=("cc by nc",), exact=True),
+    Notice("cc", "creative commons attribution", 2, names=("creative", "commons")),
     Notice("isc", "permission to use copy modify and or distribute this software for any purpose", 6),
-    Notice("all-rights-reserved", "all rights reserved", 1, must="rights reserved"),
+    Notice("all-rights-reserved", "all rights reserved", 2, names=("rights", "reserved")),
 )
 
 
@@ -120,7 +139,7 @@ class Scanner:
             for a, b in _windows(starts[k].difference(exact), len(padded), notice.edits, len(norm)):
                 for m in self.patterns[k].finditer(norm, a, b):
                     s, e = m.span()
-                    if notice.must and f" {notice.must} " not in f" {m.group()} ":
+                    if not notice.named_in(m.group()):
                         continue
                     before = bisect_left(exact, e) - 1  # the last exact place that starts before the end
                     if before < 0 or s >= exact[before] + len(padded) - 1:

@@ -69,32 +69,51 @@ def test_license_base_places(spark):
         assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
 
 
-def test_words_that_tell_a_notice_stand_unchanged():
-    scanner = license_scan.Scanner()
-    labels = lambda t: {h.notice.label for h in scanner.hits(license_scan.normalised(t)[1])}
-    for text in ("get it license", "kit license", "omit license", "generate public license", "all nights reserved", "mits license"):
-        assert labels(text) == set(), text
-    wanted = {"mit licence": "mit", "apache licence": "apache", "general public licens": "gpl", "all right reserved": None, "al rights reserved": "all-rights-reserved"}
+def labels_of(text):
+    return {h.notice.label for h in license_scan.Scanner().hits(license_scan.normalised(text)[1])}
+
+
+def test_names_of_a_notice_stand_or_are_off_by_one_slip():
+    for text in ("get it license", "kit license", "omit license", "generate public license", "all nights reserved", "mits license", "released under the bsd license", "licensed under cc by sa"):
+        assert labels_of(text) == set(), text
+    wanted = {
+        "mit licence": "mit", "apache licence": "apache", "general public licens": "gpl", "al rights reserved": "all-rights-reserved",
+        "licensed under the apach license version 2 0": "apache", "licensed under the apachee license version 2.0": "apache",
+        "released under the mitt license": "mit", "mozila public license": "mpl", "creative comons attribution": "cc",
+        "genral public license": "gpl", "all rigths reserved": "all-rights-reserved", "all right reserved": "all-rights-reserved", "apachelicense": "apache",
+    }
     for text, label in wanted.items():
-        assert labels(f"a {text} b") == ({label} if label else set()), text
+        assert labels_of(f"a {text} b") == {label}, text
+    assert "lgpl" in labels_of("gnu lesser general pubic license")
+
+
+def swaps(word):
+    return {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)}
 
 
 def test_license_fuzzy_matches_are_within_bounds_and_none_is_lost():
-    notice = license_scan.Notice("mit", "released under the mit license", 3)
-    scanner = license_scan.Scanner([notice])
+    """Over the production notices: every text within the bound whose names stand by the rule is found."""
+    scanner = license_scan.Scanner()
     rng = random.Random(8)
-    for _ in range(300):
-        phrase = list(notice.phrase)
-        for _ in range(rng.randint(0, 6)):
-            k = rng.randrange(len(phrase))
-            phrase[k : k + rng.randint(0, 1)] = rng.choice(["", "q", "z"])
-        made = " ".join("".join(phrase).split())
-        hits = scanner.hits(license_scan.normalised(f"aaa bbb {made} ccc")[1])
-        away = edits(made, notice.phrase)
-        if away <= 3:
-            assert hits, made
-        for h in hits:
-            assert h.edits <= 3
+    checked = 0
+    for notice in license_scan.NOTICES:
+        for _ in range(150):
+            phrase = list(notice.phrase)
+            for _ in range(rng.randint(0, notice.edits + 1)):
+                k = rng.randrange(len(phrase))
+                phrase[k : k + rng.randint(0, 1)] = rng.choice(["", "q", "z"])
+            made = " ".join("".join(phrase).split())
+            hits = [h for h in scanner.hits(license_scan.normalised(f"aaa bbb {made} ccc")[1]) if h.notice == notice]
+            assert all(h.edits <= notice.edits for h in hits)
+            words = made.split()
+            if notice.exact:
+                named = all(f" {n} " in f" {made} " for n in notice.names)
+            else:
+                named = all(n in made or any(w[0] == n[0] and (edits(w, n) <= 1 or w in swaps(n)) for w in words) for n in notice.names)
+            if edits(made, notice.phrase) <= notice.edits and named:
+                assert hits, (notice.phrase, made)
+                checked += 1
+    assert checked > 1000
 
 
 def test_license_spans(spark):
