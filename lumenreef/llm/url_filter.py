@@ -3,9 +3,9 @@
 Where no rule fits, a URL is judged by its words. Host labels are split into words
 by unigram Viterbi, with word counts over the visible text of all pages. A
 multinomial naive Bayes model over host words and path tokens is trained on weak
-labels: a URL with a seed word among its host words counts as unwanted, so words that
-come with seed words become evidence of their own. Everything that grows with
-the corpus (word counts, hosts, tokens) is joined, never collected or broadcast.
+labels: a URL with a seed word among its host words counts as unwanted. Its seed words are left out when it is
+learnt from, so what the model learns is what else such URLs hold, and a seed word weighs no more than its prior
+count. Everything that grows with the corpus (word counts, hosts, tokens) is joined, never collected or broadcast.
 """
 
 from __future__ import annotations
@@ -26,6 +26,8 @@ from lumenreef.llm._scratch import materialise
 _AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Words looked up in a label have at most this many characters.
 LONGEST_WORD = 20
+#: Characters of a label whose substrings are cut together, from longer windows to shorter ones.
+WINDOWS = (4000, 60)
 SMOOTHING = 0.5
 #: Occurrences that each seed word counts for in the word counts and in the unwanted class.
 SEED_COUNT, SEED_WEIGHT = 1000, 2
@@ -139,37 +141,44 @@ def segment(label: str, counts: Mapping[str, int], total: int) -> list[str]:
     Words without a count have probability 10 / (total * 10 ** length). Of equally
     probable splits the one with the longest last word wins.
     """
-    best: list[tuple[float, int]] = [(0.0, 0)]  # log-probability, start of the last word
+    known = {word: math.log(n / total) for word, n in counts.items() if n}
+    unknown = [math.log(10 / total) - size * math.log(10) for size in range(LONGEST_WORD + 1)]
+    best, starts = [0.0], [0]  # log-probability of the best split up to each place, start of its last word
     for end in range(1, len(label) + 1):
-        options = []
+        top, at = -math.inf, 0
         for start in range(max(0, end - LONGEST_WORD), end):
-            word = label[start:end]
-            n = counts.get(word, 0)
-            p = math.log(n / total) if n else math.log(10 / total) - len(word) * math.log(10)
-            options.append((best[start][0] + p, -start))
-        score, start = max(options)
-        best.append((score, -start))
+            p = best[start] + known.get(label[start:end], unknown[end - start])
+            if p > top:
+                top, at = p, start
+        best.append(top)
+        starts.append(at)
     words, end = [], len(label)
     while end:
-        words.append(label[best[end][1] : end])
-        end = best[end][1]
+        words.append(label[starts[end] : end])
+        end = starts[end]
     return words[::-1]
 
 
 def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
     """``label, words`` for distinct ``label``s, with ``words(word, n)`` as the unigram counts.
 
-    Every substring of a label is joined with the counts, so no dictionary is sent
-    round; what is gathered for a label is bounded by its length.
+    Every substring of a label of up to ``LONGEST_WORD`` characters is joined with the counts, so no dictionary is sent
+    round. Substrings are cut from windows of a label and go by its number, not with its text, so the work and what
+    is gathered for a label grow with its length.
     """
     spark = labels.sparkSession
     known = spark.createDataFrame([(w, SEED_COUNT) for w in (*SEEDS, *NAME_WORDS)], "word string, n long")
     words = words.unionByName(known).groupBy("word").agg(F.sum("n").alias("n"))
     total = max(2, words.agg(F.sum("n")).first()[0] or 0)
-    starts = labels.select("label", F.explode(F.sequence(F.lit(1), F.length("label"))).alias("i"))
-    sized = starts.select("label", "i", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("i") + 1))).alias("k"))
-    parts = sized.select("label", F.substr("label", F.col("i"), F.col("k")).alias("word")).distinct()
-    found = parts.join(words, "word").groupBy("label").agg(F.collect_list(F.struct("word", "n")).alias("found"))
+    labels = materialise(labels.select("label", F.monotonically_increasing_id().alias("id")), "label-ids")
+    windows = labels.select("id", F.col("label").alias("w"))
+    for width in WINDOWS:  # finding a place in a text takes time in proportion to it, so long windows are cut again
+        offsets = F.sequence(F.lit(1), F.greatest(F.length("w"), F.lit(1)), F.lit(width))
+        windows = windows.select("id", "w", F.explode(offsets).alias("i")).select("id", F.substr("w", F.col("i"), F.lit(width + LONGEST_WORD - 1)).alias("w"))
+    starts = windows.where("w <> ''").select("id", "w", F.explode(F.sequence(F.lit(1), F.least(F.length("w"), F.lit(WINDOWS[-1])))).alias("i"))
+    sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("w") - F.col("i") + 1))
+    parts = starts.select("id", "w", "i", F.explode(sizes).alias("k")).select("id", F.substr("w", F.col("i"), F.col("k")).alias("word")).distinct()
+    found = parts.join(words, "word").groupBy("id").agg(F.collect_list(F.struct("word", "n")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +188,7 @@ def segmented_labels(labels: DataFrame, words: DataFrame) -> DataFrame:
                 out.append(segment(label, counts, total))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(out, pa.list_(pa.string()))], names=["label", "words"])
 
-    return labels.join(found, "label", "left").mapInArrow(run, "label string, words array<string>")
+    return labels.join(found, "id", "left").select("label", "found").mapInArrow(run, "label string, words array<string>")
 
 
 def _host_words(hosts: DataFrame, words: DataFrame) -> DataFrame:
@@ -211,14 +220,16 @@ def url_odds(urls: DataFrame, words: DataFrame) -> DataFrame:
     hosts = materialise(shapes.select("host").distinct(), "hosts")
     shapes = shapes.join(_host_words(hosts, words), "host", "left").withColumn("host_words", F.coalesce("host_words", F.array().cast("array<string>")))
     seeds = F.array(*map(F.lit, SEEDS))
-    shapes = shapes.withColumn("unwanted", F.arrays_overlap("host_words", seeds).cast("int"))
-    shapes = materialise(shapes.withColumn("all", F.concat(F.transform("host_words", lambda x: F.concat(F.lit("h:"), x)), F.transform("tokens", lambda x: F.concat(F.lit("p:"), x)))), "shapes")
-    tokens = shapes.select(F.explode("all").alias("token"), "count", "unwanted")
-    counted = tokens.groupBy("token").agg(F.sum(F.col("count") * F.col("unwanted")).alias("bad"), F.sum(F.col("count") * (1 - F.col("unwanted"))).alias("good"))
+    seeded = F.arrays_overlap("host_words", seeds)
+    shapes = shapes.withColumns({"bad": F.when(seeded, F.col("count")).otherwise(0), "good": F.when(seeded, 0).otherwise(F.col("count"))})
+    marked = lambda name, mark: F.transform(name, lambda x: F.concat(F.lit(mark), x))
+    shapes = materialise(shapes.withColumn("all", F.concat(marked("host_words", "h:"), marked("tokens", "p:"))), "shapes")
+    learnt = shapes.select(F.explode("all").alias("token"), "bad", "good").where(~F.col("token").isin([f"h:{s}" for s in SEEDS]))
+    counted = learnt.groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     prior = urls.sparkSession.createDataFrame([(f"h:{s}", SEED_WEIGHT, 0) for s in SEEDS], "token string, bad long, good long")
     counted = materialise(counted.unionByName(prior).groupBy("token").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "tokens")
     n = counted.agg(F.count("*"), F.sum("bad"), F.sum("good")).first()
-    of = shapes.agg(F.sum(F.col("count") * F.col("unwanted")), F.sum("count")).first()
+    of = shapes.agg(F.sum("bad"), F.sum("count")).first()
     bad_urls, all_urls = of[0] or 0, of[1] or 0
     base = math.log((bad_urls + 1) / (all_urls - bad_urls + 1))
     size = math.log(((n[2] or 0) + SMOOTHING * n[0]) / ((n[1] or 0) + SMOOTHING * n[0]))
@@ -234,7 +245,8 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     log-odds are above 0. A null URL, or one without ``://``, has empty host and path
     and the model's prior. Null page ids and repeated rows stay as they are; other columns
     take no part. An empty table gives no rows. Pages, labels and URLs of any length are
-    taken whole: the work grows with their length, for a label times ``LONGEST_WORD``.
+    taken whole: the work grows with their length, for a label times ``LONGEST_WORD``, which also bounds the words
+    that are counted and found.
     """
     words = materialise(page_words(pages), "words")
     host, path = host_and_path(F.col("url"))

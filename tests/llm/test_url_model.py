@@ -49,7 +49,7 @@ def plain_odds(urls, counts):
         tokens = [re.sub("[0-9]+", "0", x) for x in re.split(r"[^a-z0-9]+", path.lower()) if x]
         unwanted = any(w in url_filter.SEEDS for w in words)
         bags[host, tuple(tokens)] = bag = [f"h:{w}" for w in words] + [f"p:{t}" for t in tokens]
-        (bad if unwanted else good).update(bag)
+        (bad if unwanted else good).update(t for t in bag if t.removeprefix("h:") not in url_filter.SEEDS)
         prior[unwanted] += 1
     bad.update({f"h:{s}": url_filter.SEED_WEIGHT for s in url_filter.SEEDS})
     names = {*bad, *good}
