@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreef.functions import policy, proposals
-from lumenreef.operators import contacts, history, kpi
+from lumenreef.operators import contacts, frequent_sets, history, kpi, markup, rollup
 from lumenreef.plans import views
 from lumenreef.session import configure, shared_path
 from lumenreef.sources import catalog as catalogs
 from lumenreef.sources import history as histories
+from lumenreef.sources import versions
 from lumenreef.streaming import history as history_streams
 from lumenreef.streaming import kpi as streams
 
@@ -305,8 +306,80 @@ filled AS (SELECT run_id, fuente, CASE WHEN b.organizadores < 20 AND b.eventos >
   b.organizadores < 20 AND b.eventos > 20 AS enriched FROM runs r JOIN before b USING (run_id) LEFT JOIN con USING (event_id))
 {_SCORED} (SELECT run_id, enriched, {_KPI} FROM filled GROUP BY run_id, enriched)""")
 def enrich_then_kpi(spark, sf_dir):
-    runs = views.catalog(spark, sf_dir).withColumn("run_id", F.col("event_id") % 7)
-    return contacts.enrich_then_measure(runs, "run_id", lambda df: contacts.fill_contacts(df, _contacts(spark, sf_dir)), 20, 20)
+    """Own and new values come from one look at each page, and one pass over the rows."""
+    return rollup.enriched_kpis(_with_news(spark, sf_dir), "run_id", 20, 20)
+
+
+def _with_news(spark, sf_dir) -> DataFrame:
+    """The catalog of seven runs with the contacts of each page as ``nuevo_organizador`` and ``nuevo_email``."""
+    pages = views.table(spark, sf_dir, "pages")
+    own = F.struct(F.col("page_id").alias("event_id"), views.source(), (F.col("page_id") % 7).alias("run_id"))
+    rows = contacts.first_contacts(pages.select(own.alias("key"), "html"), "key", "html").select("key.*", "organizador", "email")
+    blanked = F.when(F.col("event_id") % 3 != 0, F.col("organizador")).alias("organizador")
+    return rows.select("run_id", "event_id", "fuente", blanked, "email", F.col("organizador").alias("nuevo_organizador"), F.col("email").alias("nuevo_email"))
+
+
+@query(ORACLE["enrich_then_kpi"])
+def enrich_by_version(spark, sf_dir):
+    """The catalog as a versioned table: measured, filled where a run needs it, committed as the next version and measured again."""
+    root = shared_path(spark, "catalog")
+    catalog = views.catalog(spark, sf_dir).withColumn("run_id", F.col("event_id") % 7)
+    first = versions.commit(catalog, root, versions.current_version(spark, root))
+    contacts.enrich_version(spark, root, _contacts(spark, sf_dir), "run_id", 20, 20)
+    before = kpi.catalog_kpi(versions.read(spark, root, first), ["run_id"]).select("run_id", kpi.needs_enrichment(20, 20).alias("enriched"))
+    return kpi.catalog_kpi(versions.read(spark, root), ["run_id"]).join(before, "run_id")
+
+
+@query(ORACLE["enrich_then_kpi"])
+def enrich_by_delta(spark, sf_dir):
+    """Counts by source are stored; of the runs that need it the filled rows change them, and nothing else is counted again."""
+    rows = _with_news(spark, sf_dir)
+    path = shared_path(spark, "parts")
+    rollup.by_source(rows, ["run_id"]).write.parquet(path)
+    parts = spark.read.parquet(path)
+    before = rollup.kpis(parts, ["run_id"]).select("run_id", kpi.needs_enrichment(20, 20).alias("enriched"))
+    news = {c: F.when(F.col(c).isNull(), F.col(f"nuevo_{c}")) for c in ("organizador", "email")}
+    poor = rows.withColumns(news).join(before.where("enriched"), "run_id", "left_semi")
+    return rollup.kpis(rollup.merged(parts, rollup.filled(poor, ["run_id"]), by=["run_id"]), ["run_id"]).join(before, "run_id")
+
+
+@query(f"WITH {views.CATALOG} {_SCORED} (SELECT event_id % 7 AS run_id, {_KPI} FROM cat GROUP BY 1)")
+def kpi_rollup(spark, sf_dir):
+    """Sketches by run and day are stored and merged into those of runs; so few sources are estimated exactly."""
+    catalog = views.catalog(spark, sf_dir).withColumns({"run_id": F.col("event_id") % 7, "dia": F.col("event_id") % 30})
+    path = shared_path(spark, "sketches")
+    rollup.sketched(catalog, ["run_id", "dia"]).write.parquet(path)
+    return rollup.estimated(rollup.rolled_up(spark.read.parquet(path), ["run_id"]))
+
+
+_MARKED = r"""regexp_replace(regexp_replace(html, '(?s)<(script|style).*?</(script|style)>', '', 'g'), '<!--.*?-->', '', 'g')"""
+
+
+@query(rf"""WITH p AS (SELECT page_id, {_MARKED} AS html, nullif(regexp_extract(url, 'https?://([a-z0-9.-]+)', 1), '') AS host FROM pages)
+SELECT page_id, 'text' AS lugar, unnest(regexp_extract_all(html, '([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+[.][A-Za-z]{{2,}})')) AS email FROM p
+UNION ALL SELECT page_id, 'mailto', 'web@' || host FROM p WHERE page_id % 3 = 0 AND host IS NOT NULL""")
+def contacts_from_markup(spark, sf_dir):
+    """Pages with encoded addresses, every third with a link to its owner and a comment that does not count."""
+    pages = views.table(spark, sf_dir, "pages")
+    host = F.nullif(F.regexp_extract("url", "https?://([a-z0-9.-]+)", 1), F.lit(""))
+    link = F.concat(F.lit('<!-- not@this.one --><a class=x href="mailto:web%40'), host, F.lit('?subject=a@b.cc">w</a>'))
+    coded = F.concat(F.replace("html", F.lit("@"), F.lit("&#64;")), F.when(F.col("page_id") % 3 == 0, F.coalesce(link, F.lit(""))).otherwise(""))
+    return markup.contacts_in(pages.select("page_id", coded.alias("html")), "page_id", "html")
+
+
+SETS_LEAST = 8
+
+
+@query(f"""WITH RECURSIVE {_JOINED}, lists AS (SELECT list_sort(string_split(paises, ',')) AS l, count(*) AS n, sum(score) AS total FROM both_ WHERE paises <> '' GROUP BY 1),
+masks AS (SELECT l, n, total, unnest(range(1, (1 << len(l))::BIGINT)) AS m FROM lists)
+SELECT array_to_string(list_filter(l, lambda x, i: (m >> (i - 1)::BIGINT) & 1 = 1), ',') AS paises, sum(n)::BIGINT AS n, sum(total) / sum(n) AS avg_score
+FROM masks GROUP BY 1 HAVING sum(n) >= {SETS_LEAST}""")
+def countries_together(spark, sf_dir):
+    """Which countries go together with which score, over the configurations used in measured iterations."""
+    used = policy.trajectory(views.proposals(spark, sf_dir), levels=1).select("run_id", "iteracion", "priorizar_paises")
+    rows = policy.looped(views.iterations(spark, sf_dir)).join(used, ["run_id", "iteracion"])
+    sets = frequent_sets.frequent_sets(rows, "priorizar_paises", "score", SETS_LEAST)
+    return sets.select(F.array_join("items", ",").alias("paises"), "n", "avg_score")
 
 
 @query(f"""WITH {views.CATALOG} SELECT event_id, fuente, organizador, email, NULL::VARCHAR AS lang FROM cat
@@ -408,14 +481,14 @@ _WINDOWS = """SELECT date_trunc('day', ts) AS inicio, count(*) AS eventos, count
   count(*) FILTER (event_type = 'signup') AS organizadores, count(*) FILTER (event_type = 'purchase') AS emails FROM events GROUP BY 1"""
 
 
-def _windowed(spark, sf_dir, mode: str) -> DataFrame:
+def _windowed(spark, sf_dir, mode: str, measure: Callable[[DataFrame], DataFrame] = streams.windowed_kpi) -> DataFrame:
     def prepare(events: DataFrame) -> DataFrame:
         return events.select(
             F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("fuente"),
             F.when(F.col("event_type") == "signup", "x").alias("organizador"), F.when(F.col("event_type") == "purchase", "x").alias("email"),
         )
 
-    done = _drain(spark, streams.windowed_kpi(_stream(spark, sf_dir, prepare)), mode)
+    done = _drain(spark, measure(_stream(spark, sf_dir, prepare)), mode)
     return done.withColumn("inicio", F.col("inicio").cast("timestamp_ntz"))
 
 
@@ -430,6 +503,12 @@ def stream_kpi_append(spark, sf_dir):
     return _windowed(spark, sf_dir, "append")
 
 
+@query(ORACLE["stream_kpi_append"])
+def stream_kpi_sketch(spark, sf_dir):
+    """Closed windows whose state holds a sketch of fixed size instead of a set of sources."""
+    return _windowed(spark, sf_dir, "append", lambda events: rollup.estimated(rollup.windowed(events)))
+
+
 @query(ORACLE["new_best"])
 def stream_new_best(spark, sf_dir):
     path = shared_path(spark, "stream-in")

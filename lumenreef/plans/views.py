@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreef.functions import policy
@@ -13,11 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def source() -> Column:
+    """The source of a page: the host of its url."""
+    return F.nullif(F.regexp_extract("url", r"https?://([^/?#]+)", 1), F.lit("")).alias("fuente")
+
+
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, fuente, organizador, email`` from pages; a third of the organisers left out."""
     pages = table(spark, sf_dir, "pages")
-    source = F.nullif(F.regexp_extract("url", r"https?://([^/?#]+)", 1), F.lit(""))
-    keyed = pages.select(F.struct(F.col("page_id").alias("event_id"), source.alias("fuente")).alias("key"), "html")
+    keyed = pages.select(F.struct(F.col("page_id").alias("event_id"), source()).alias("key"), "html")
     blanked = F.when(F.col("event_id") % 3 != 0, F.col("organizador")).alias("organizador")
     return contacts.first_contacts(keyed, "key", "html").select("key.*", "organizador", "email").select("event_id", "fuente", blanked, "email")
 
