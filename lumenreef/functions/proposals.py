@@ -97,6 +97,21 @@ def prompt() -> Column:
     return F.format_string(PROMPT, "eventos", "fuentes", "organizadores", "emails", "score")
 
 
+#: What a request adds where a metric asks for it.
+ADVICE = {
+    "enrich": "Hay muchos eventos con pocos organizadores: conviene enriquecer los eventos.",
+    "sources": "Las fuentes son pocas: conviene añadir otras.",
+    "limits": "El score es bajo: conviene subir max_eventos o busquedas_facebook.",
+}
+
+
+def advice(low_score: int, few_organisers: int = 20, many_events: int = 50, few_sources: int = 5) -> Column:
+    """The advice that the five metrics ask for, one line each; empty if there is none."""
+    c = F.col
+    applies = {"enrich": (c("organizadores") < few_organisers) & (c("eventos") > many_events), "sources": c("fuentes") < few_sources, "limits": c("score") < low_score}
+    return F.concat_ws("\n", *[F.when(holds, ADVICE[name]) for name, holds in applies.items()])
+
+
 def summary() -> Column:
     """One line of text for the metrics of an iteration."""
     parts = [F.concat(F.lit(f"{name}: "), F.col(name).cast("string")) for name in ("eventos", "organizadores", "emails", "fuentes", "score")]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenreef.functions import policy, proposals
-from lumenreef.operators import contacts, frequent_sets, history, kpi, markup, rollup
+from lumenreef.operators import contacts, frequent_sets, history, kpi, markup, rollup, runs
 from lumenreef.plans import views
 from lumenreef.session import configure, shared_path
 from lumenreef.sources import catalog as catalogs
@@ -217,15 +217,19 @@ def trajectory_long_runs(spark, sf_dir):
     return _shown(policy.trajectory(_long_runs(spark, sf_dir)).withColumnRenamed("iteracion", "event_id"), "run_id", "event_id")
 
 
-@query(f"""WITH RECURSIVE {views.LOOPED_ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN n % 11 <> 0 THEN eventos END AS eventos,
-  CASE WHEN n % 11 <> 0 THEN organizadores END AS organizadores FROM cycles
+#: Measured iterations up to each run's stop with their proposals, parsed and folded.
+_STOPPED = f"""{views.LOOPED_ITERATIONS}, hist AS (SELECT run_id, iteracion, CASE WHEN n % 11 <> 0 THEN eventos END AS eventos,
+  CASE WHEN n % 11 <> 0 THEN organizadores END AS organizadores, score FROM cycles
 ), stops AS (SELECT *, min(CASE WHEN eventos >= {GOAL_EVENTS} AND organizadores >= {GOAL_ORGANISERS} THEN iteracion END) OVER (PARTITION BY run_id) AS g,
   min(CASE WHEN eventos IS NULL THEN iteracion END) OVER (PARTITION BY run_id) AS f FROM hist
 ), answers AS (SELECT {views.CYCLE} AS run_id, (n - 1) % 15 + 1 AS iteracion, respuesta
   FROM (SELECT run_id, respuesta, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS n FROM ({views.RAW}))
-), raw AS (SELECT iteracion AS event_id, run_id, respuesta, eventos, organizadores FROM stops LEFT JOIN answers USING (run_id, iteracion)
+), raw AS (SELECT iteracion AS event_id, run_id, respuesta, eventos, organizadores, score FROM stops LEFT JOIN answers USING (run_id, iteracion)
   WHERE (g IS NULL OR iteracion <= g) AND (f IS NULL OR iteracion < f)
-), {views.PARSED}, looped AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM typed), {views.FOLD}
+), {views.PARSED}, looped AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS iteracion FROM typed), {views.FOLD}"""
+
+
+@query(f"""WITH RECURSIVE {_STOPPED}
 SELECT {_RUN}, max_eventos, busquedas_facebook, timeout, paises FROM final WHERE run_id IN (SELECT run_id FROM named WHERE what <> 'none')""")
 def fold_history(spark, sf_dir):
     """The proposals of each measured iteration up to the run's stop, folded; a missing one is empty."""
@@ -235,6 +239,16 @@ def fold_history(spark, sf_dir):
     return last.select("run_id.*", "max_eventos", "busquedas_facebook", "timeout", F.array_join("priorizar_paises", ",").alias("paises"))
 
 
+@query(f"""WITH RECURSIVE {_STOPPED}
+SELECT {_RUN}, score, event_id AS iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj JOIN (SELECT run_id, iteracion, event_id, score FROM looped) USING (run_id, iteracion)
+WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY score DESC, event_id) = 1""")
+def run_results(spark, sf_dir):
+    """What the loop returns: the best configuration of each run before its stop, where missing proposals are empty ones."""
+    goal = kpi.goal_reached(GOAL_EVENTS, GOAL_ORGANISERS)
+    best = runs.run_results(policy.looped(views.measured(spark, sf_dir)), views.proposals(spark, sf_dir), goal, F.col("eventos").isNull(), ITERATIONS)
+    return _shown(best.select("run_id.*", "score", "iteracion", *policy.NUMBERS, "priorizar_paises"), "run_id", "ciclo", "score", "iteracion")
+
+
 @query(f"WITH RECURSIVE {views.TRAJECTORY} SELECT {_RUN}, iteracion, max_eventos, busquedas_facebook, timeout, paises FROM traj")
 def config_trajectory(spark, sf_dir):
     used = policy.trajectory(views.proposals(spark, sf_dir), levels=1)
@@ -450,6 +464,14 @@ def render_prompt(spark, sf_dir):
     return views.iterations(spark, sf_dir).select("run_id", "iteracion", proposals.prompt().alias("prompt"))
 
 
+@query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, concat_ws(chr(10),
+  CASE WHEN organizadores < {FEW_ORGANISERS} AND eventos > {MANY_EVENTS} THEN '{proposals.ADVICE["enrich"]}' END,
+  CASE WHEN fuentes < 3 THEN '{proposals.ADVICE["sources"]}' END, CASE WHEN score < {LOW_SCORE} THEN '{proposals.ADVICE["limits"]}' END) AS consejo FROM it""")
+def render_advice(spark, sf_dir):
+    advice = proposals.advice(LOW_SCORE, FEW_ORGANISERS, MANY_EVENTS, 3).alias("consejo")
+    return views.iterations(spark, sf_dir).select("run_id", "iteracion", advice)
+
+
 @query(f"""WITH {views.ITERATIONS} SELECT run_id, iteracion, 'eventos: ' || eventos || ' | organizadores: ' || organizadores || ' | emails: ' || emails
   || ' | fuentes: ' || fuentes || ' | score: ' || score AS resumen FROM it""")
 def render_summary(spark, sf_dir):
