@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VALID, EMPTY, UNPARSEABLE, NON_OBJECT = "VALID", "EMPTY", "UNPARSEABLE", "NON_OBJECT"
-#: Canonical JSON of a value that counts as no proposal at all.
-_FALSY = r'^(\{\}|\[\]|null|""|false|-?0(\.0*)?([eE][+-]?[0-9]+)?)$'
+#: JSON of a value that counts as no proposal at all; numbers in canonical form.
+_FALSY = r'^\s*(\{\s*\}|\[\s*\]|null|""|false)\s*$'
+_ZERO = r"^-?0(\.0*)?([eE][+-]?[0-9]+)?$"
 
 
 def json_span(text: Column) -> Column:
@@ -40,12 +41,14 @@ def parse_proposals(rows: DataFrame, text: str = "respuesta") -> DataFrame:
     wrapped = F.concat(F.lit("["), json_span(F.col(text)), F.lit("]"))
     parsed = F.when(F.json_array_length(wrapped) == 1, F.try_parse_json(wrapped))
     df = rows.withColumn("_p", parsed).withColumn("_v", F.try_variant_get("_p", "$[0]", "variant"))
-    shown = F.to_json("_v")
+    # The text is valid JSON where this is asked, so its first character tells the kind of value.
+    span = json_span(F.col(text))
+    number = span.rlike(r"^\s*[-0-9]")
     clase = (
         F.when(F.col(text).isNull(), EMPTY)
         .when(F.col("_p").isNull(), UNPARSEABLE)
-        .when(F.coalesce(shown.rlike(_FALSY), F.lit(True)), EMPTY)
-        .when(shown.startswith("{"), VALID)
+        .when(span.rlike(_FALSY) | (number & F.to_json("_v").rlike(_ZERO)), EMPTY)
+        .when(span.rlike(r"^\s*\{"), VALID)
         .otherwise(NON_OBJECT)
     )
     # Class and parsed value come out of a list of one, so a filter on what is read from them is not pushed below, where it

@@ -11,31 +11,32 @@ from lumenreef.session import shared_path
 def frequent_sets(rows: DataFrame, items: str, score: str, least: int) -> DataFrame:
     """``items, n, avg_score`` for every set of elements that at least ``least`` rows hold together: sorted, with their mean score.
 
-    Rows with equal elements are one row with a count first. Then the tree grows by one level a pass: each list holds the
-    nodes (sorted prefixes) that it contains, offers every later element to each, and the offers that enough rows make
-    become the nodes of the next level; offers are counted in their tasks before they are shuffled. Null and repeated
-    elements do not count, rows without any or without a score are left out. Ends with the largest set.
+    Rows with equal elements are one row with a count first. Then the tree grows by one level a pass: each node (a sorted
+    prefix) holds what is left of the lists that contain it, equal rests as one with a count, and offers every element of a
+    rest as the next one; the offers that enough rows make become the nodes of the next level. Rests and offers are counted
+    in their tasks before they are shuffled. Null and repeated elements do not count, rows without any or without a score are
+    left out. Ends with the largest set.
     """
     spark = rows.sparkSession
+
+    def stored(df: DataFrame, tag: str) -> DataFrame:
+        path = shared_path(spark, tag)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
     kept = F.array_sort(F.array_distinct(F.filter(items, lambda x: x.isNotNull())))
-    lists = rows.where(F.col(score).isNotNull()).groupBy(kept.alias("list")).agg(F.count("*").alias("n"), F.sum(score).alias("total"))
-    active = lists.where(F.size("list") > 0).select("list", "n", "total", F.array().cast("array<string>").alias("node"), F.lit(0).alias("at"))
-    levels = []
+    sums = F.sum("n").alias("n"), F.sum("total").alias("total")
+    scored = rows.where(F.col(score).isNotNull()).select(F.array().cast("array<string>").alias("node"), kept.alias("rest"), F.lit(1).cast("bigint").alias("n"), F.col(score).alias("total"))
+    rests, levels = scored, []
     while True:
-        # at: the number of list elements up to the node's last one.
-        offers = active.select("list", "n", "total", "node", F.posexplode(F.slice("list", F.col("at") + 1, F.greatest(F.size("list") - F.col("at"), F.lit(0)))).alias("_p", "_x"), "at")
-        offers = offers.select("list", "n", "total", F.concat("node", F.array("_x")).alias("node"), (F.col("at") + F.col("_p") + 1).alias("at"))
-        counted = offers.groupBy("node").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where(F.col("n") >= least)
-        path = shared_path(spark, "frequent")
-        counted.write.parquet(path)
-        nodes = spark.read.schema(counted.schema).parquet(path)
+        rests = stored(rests.where(F.size("rest") > 0).groupBy("node", "rest").agg(*sums), "rests")
+        offers = rests.select("node", "rest", "n", "total", F.posexplode("rest").alias("_p", "_x"))
+        offers = offers.select(F.concat("node", F.array("_x")).alias("node"), F.slice("rest", F.col("_p") + 2, F.size("rest")).alias("rest"), "n", "total")
+        nodes = stored(offers.groupBy("node").agg(*sums).where(F.col("n") >= least), "nodes")
         levels.append(nodes)
         if nodes.isEmpty():
             break
-        grown = offers.join(nodes.select("node"), "node", "left_semi").where(F.col("at") < F.size("list"))
-        path = shared_path(spark, "lists")
-        grown.write.parquet(path)
-        active = spark.read.schema(grown.schema).parquet(path)
+        rests = offers.join(nodes.select("node"), "node", "left_semi")
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.unionByName(level)
