@@ -193,7 +193,7 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     """One row for each document: the base counts and the verdict.
 
     Null or empty text: all counts 0, ``base_failed`` true, ``kept`` false. A null
-    doc_id stays null; repeated rows give repeated results.
+    doc_id stays null; repeated rows give repeated results; an empty table gives no rows. Other columns take no part.
     """
     cascade = fit_cascade(docs, rules)
 

@@ -297,7 +297,8 @@ REPORT_SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 s
 def encoding_report(docs: DataFrame, path: str | None = None) -> DataFrame:
     """One row for each document: number of ids and digests of ids and decoded text.
 
-    Null and empty texts have no ids and the digests of the empty string.
+    Null and empty texts have no ids and the digests of the empty string. A null doc_id keeps its row, repeated rows
+    repeat, an empty table gives no rows. Other columns take no part.
     """
     shared = _codecs(docs.sparkSession, path)
 

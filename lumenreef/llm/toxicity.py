@@ -13,6 +13,7 @@ for each bucket, so the broadcast model has two times ``BUCKETS`` floats whateve
 
 from __future__ import annotations
 
+import heapq
 import math
 import zlib
 from collections.abc import Iterator, Sequence
@@ -32,8 +33,14 @@ DIM = 4
 NGRAMS = (3, 4, 5)
 #: Bound on the training rows of either class (the documented sample bound).
 SAMPLE_PER_CLASS = 2000
-EPOCHS = 100
+#: Distinct words of a training text that are learnt from: those of smallest hash (a text to be scored is taken whole).
+WORDS_PER_TEXT = 1000
+#: Logarithm of the largest weight of a word.
+LARGEST_WEIGHT = 30.0
+EPOCHS = 60
 RATE = 6.0
+#: Length of the softmax weights at the start.
+LENGTH = 2.0
 #: Steps of the words' weights, as a multiple of those of their vectors.
 RATE_OF_WEIGHTS = 3.0
 #: Entries of a task's word cache; a full cache is emptied, results do not change.
@@ -85,7 +92,7 @@ class ToxicityModel:
                 pair = seen.get(w)
                 if pair is None:
                     bag = buckets_of(w)
-                    weight = math.exp(min(30.0, sum([weights[k] for k in bag]) / len(bag)))
+                    weight = math.exp(min(LARGEST_WEIGHT, sum([weights[k] for k in bag]) / len(bag)))
                     pair = seen[w] = weight, weight * sum([odds[k] for k in bag]) / len(bag)
                 found.append(pair)
             total = 1.0 + math.fsum([a for a, _ in found])  # 1: the zero vector, all that a text without words has
@@ -134,11 +141,17 @@ def word_id(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
+def learnt_words(text: str) -> dict[int, bytes]:
+    """The words of a training text that are learnt from, by their ids in rising order."""
+    ids = {word_id(w): w for w in words_of(text)}
+    return {k: ids[k] for k in heapq.nsmallest(WORDS_PER_TEXT, ids)}
+
+
 def train(texts: Sequence[str], labels: Sequence[int], epochs: int = EPOCHS, seed: int = 11) -> ToxicityModel:
     """``fit`` on texts."""
     docs, bags = [], {}
     for t in texts:
-        ids = {word_id(w): w for w in words_of(t)}
+        ids = learnt_words(t)
         bags.update((k, buckets_of(w)) for k, w in ids.items() if k not in bags)
         docs.append(np.array(sorted(ids), np.int64))
     order = sorted(bags)
@@ -180,6 +193,7 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     rng = np.random.default_rng(seed)
     e = np.zeros((len(used), DIM + 1), np.float32)  # the last column is for the weights
     half = rng.normal(size=(DIM, 1)).astype(np.float32)
+    half *= LENGTH / np.linalg.norm(half)  # of one length, as only the direction may be left to chance
     w = np.concatenate([-half, half], axis=1)
     b = np.zeros(2, np.float32)
     blocks = [(e, RATE), (w, 0.05), (b, 0.1)]
@@ -187,7 +201,7 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
     for step in range(1, epochs + 1):
         h = to_word(e)
         z = h[:, :DIM] @ w
-        odds, weight = (z[:, 1] - z[:, 0])[word], h[:, DIM][word]
+        odds, weight = (z[:, 1] - z[:, 0])[word], np.minimum(h[:, DIM], LARGEST_WEIGHT)[word]
         top = np.maximum(np.maximum.reduceat(weight, starts), 0)  # 0: the weight of the zero vector
         part = np.exp(weight - top[row])
         part /= (np.add.reduceat(part, starts) + np.exp(-top))[row]
@@ -206,7 +220,7 @@ def fit(docs: list[np.ndarray], labels: Sequence[int], vocabulary: np.ndarray, b
         for k, ((q, rate), dq) in enumerate(zip(blocks, grads)):
             momentum[k] += 0.2 * (dq - momentum[k])
             largest[k] += 0.1 * (float((dq * dq).max()) - largest[k])
-            q -= rate * momentum[k] / (math.sqrt(largest[k] / (1 - 0.9**step)) + 1e-12)
+            q -= (1 - (step - 1) / epochs) * rate * momentum[k] / (math.sqrt(largest[k] / (1 - 0.9**step)) + 1e-12)
     folded = np.zeros((BUCKETS, 2), np.float32)
     folded[used, 0], folded[used, 1] = e[:, :DIM] @ (w[:, 1] - w[:, 0]), e[:, DIM]
     return ToxicityModel(folded, float(b[1] - b[0]))
@@ -240,9 +254,9 @@ def hashed_sample(sample: DataFrame) -> tuple[list[np.ndarray], list[int], np.nd
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            words = [{word_id(w): w for w in words_of(t)} for t in texts_of(batch)]
-            ids = pa.array([sorted(w) for w in words], pa.list_(pa.int64()))
-            listed = pa.array([[w[k] for k in sorted(w)] for w in words], pa.list_(pa.binary()))
+            words = [learnt_words(t) for t in texts_of(batch)]
+            ids = pa.array([list(w) for w in words], pa.list_(pa.int64()))
+            listed = pa.array([list(w.values()) for w in words], pa.list_(pa.binary()))
             columns = [batch.column("doc_id").cast(pa.int64()), batch.column("y").cast(pa.int32()), ids, listed]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "ids", "words"])
 
