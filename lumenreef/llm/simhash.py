@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumenreef.llm._arrow import slices, texts_of
-from lumenreef.llm._graph import components
+from lumenreef.llm._graph import Forest, components
 from lumenreef.llm._scratch import materialise
 
 SHINGLE = 4
@@ -121,27 +121,6 @@ def _keys(layout: Layout):
     return run
 
 
-class _Forest:
-    """Union-find over fingerprints that reports only the links that join two trees."""
-
-    def __init__(self) -> None:
-        self.parent: dict[int, int] = {}
-
-    def find(self, x: int) -> int:
-        root = x
-        while (up := self.parent.get(root, root)) != root:
-            root = up
-        while (up := self.parent.get(x, x)) != root:
-            self.parent[x], x = root, up
-        return root
-
-    def joins(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-        return a != b
-
-
 def _links(key: np.ndarray, fp: np.ndarray, probe: np.ndarray, radius: int) -> Iterator[tuple[int, int]]:
     """Links within groups of equal key (sorted, table rows first), without closing cycles."""
     n = len(key)
@@ -150,7 +129,7 @@ def _links(key: np.ndarray, fp: np.ndarray, probe: np.ndarray, radius: int) -> I
     ends = np.repeat(np.append(bounds[1:], n), np.diff(np.append(bounds, n)))
     left = np.flatnonzero(~probe & (ends - np.arange(n) > 1))
     todo = np.cumsum(ends[left] - left - 1)
-    forest = _Forest()
+    forest = Forest()
     at = 0
     while at < len(left):
         done = todo[at - 1] if at else 0
