@@ -1,0 +1,68 @@
+"""A third of the rows in one group, with sort-merge joins that adaptive execution splits."""
+
+import random
+
+import pytest
+from lumenreef.llm import line_dedup, near_dedup, url_filter
+
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2048",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+}
+
+
+@pytest.fixture
+def skewed(spark):
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for key, value in SKEW.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def text(rng, n):
+    return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+
+def test_near_dedup(skewed):
+    rng = random.Random(4)
+    common = text(rng, 60)
+    near = [f"{common} end{k}" for k in range(300)]  # 56 of 58 shingles are shared by any two
+    rows = [common] * 400 + near + [text(rng, 60) for _ in range(500)]
+    ids = rng.sample(range(5_000), len(rows))
+    docs = skewed.createDataFrame(list(zip(ids, rows)), "doc_id long, text string").repartition(9)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    low = min(ids[:700])
+    assert got == {i: low if k < 700 else i for k, i in enumerate(ids)}
+
+
+def test_lines(skewed):
+    rng = random.Random(5)
+    common = text(rng, 12)
+    edited = common.replace(" ", " more ", 1)
+    rows = [(k, "\n".join([text(rng, 10), common if k % 2 else edited, text(rng, 10)])) for k in range(600)]
+    rows += [(600 + k, text(rng, 10)) for k in range(300)]
+    docs = skewed.createDataFrame(rows, "doc_id long, text string").repartition(9)
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    want = {k: t if k == 0 or k >= 600 else "\n".join(t.split("\n")[::2]) for k, t in rows}
+    assert got == want
+
+
+def test_urls(skewed):
+    """Many pages of one host with a label and token of all of them: each has its own row and the host's verdict."""
+    rng = random.Random(6)
+    host = "http://casinoshop.org"
+    urls = [f"{host}/casino/{k}" for k in range(500)] + [f"http://{rng.choice(['green', 'blue'])}garden{k}.com/shop/{k}" for k in range(700)]
+    pages = [(k, u, "<p>casino shop green blue garden</p>") for k, u in enumerate(urls)]
+    docs = skewed.createDataFrame(pages, "page_id long, url string, html string").repartition(9)
+    rows = url_filter.url_report(docs).collect()
+    verdicts = {r.page_id: r.verdict for r in rows}
+    assert len(rows) == len(verdicts) == 1200
+    assert {verdicts[k] for k in range(500)} == {"block"} and {verdicts[k] for k in range(500, 1200)} == {"allow"}
