@@ -49,6 +49,10 @@ class Scratch:
             path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table))[0])
             path.getFileSystem(conf).delete(path, True)
 
+    def clear(self) -> None:
+        """Delete all tables of ``keep``."""
+        self.drop(*[table for _, table in self.paths.values()])
+
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """``Scratch.keep`` for a table that stays until the folder is cleared."""

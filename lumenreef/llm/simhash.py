@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lumenreef.llm._arrow import slices, texts_of
 from lumenreef.llm._graph import Forest, components
-from lumenreef.llm._scratch import materialise
+from lumenreef.llm._scratch import Scratch, materialise
 
 SHINGLE = 4
 RADIUS = 4
@@ -195,15 +195,16 @@ def _spread(keys: DataFrame) -> DataFrame:
     return plain.unionByName(split)
 
 
-def links(fps: DataFrame, radius: int = RADIUS, layout: Layout | None = None) -> DataFrame:
+def links(fps: DataFrame, radius: int = RADIUS, layout: Layout | None = None, scratch: Scratch | None = None) -> DataFrame:
     """``a, b``: links between distinct fingerprints that keep every connection.
 
     ``fps`` has one row for each distinct ``fp``. Every pair of table matches is
     compared in full; a link that closes a cycle within a task is not returned. The layout is
-    the cheapest one for the number of rows, unless it is given.
+    the cheapest one for the number of rows, unless it is given. The table of keys is kept in ``scratch``.
     """
+    scratch = scratch or Scratch(fps.sparkSession)
     layout = layout or layout_for(fps.count(), radius)
-    keys = _spread(materialise(fps.select("fp").mapInArrow(_keys(layout), "key long, fp long, probe boolean"), "keys"))
+    keys = _spread(scratch.keep(fps.select("fp").mapInArrow(_keys(layout), "key long, fp long, probe boolean"), "keys"))
     parts = keys.repartition("key").sortWithinPartitions("key", "probe")
     return parts.mapInArrow(_verify(radius), "a long, b long")
 
@@ -217,7 +218,9 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     prints = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    roots = components(materialise(links(classes, radius), "links"))
+    scratch = Scratch(docs.sparkSession)
+    roots = components(scratch.keep(links(classes, radius, scratch=scratch), "links"))
+    scratch.clear()
     rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
