@@ -23,8 +23,8 @@ a bound, take part as exact copies from ``exact_words`` words on.
 
 Hashes are sums of word hashes times powers of an odd number, modulo 2 ** 64, so the hash of
 any stretch of words, also of one without a word in it, is a difference of prefix sums, and a
-line's neighbourhood takes a few numpy steps. Texts are read three times and only small rows
-are shuffled: first hashes of units, to know which repeat; then hashes of halves; then
+line's neighbourhood takes a few numpy steps. Texts are read twice and only small rows
+are shuffled: first hashes of units and of their halves, to know which repeat; then
 the units that have one of these. Two bitmaps tell a task which units may have one; their size
 is bounded, a unit let through in error costs a row and is dropped by a join, and nothing is lost.
 """
@@ -415,45 +415,35 @@ def _some(keyed: DataFrame, sketch: Sketch, inside: bool = True) -> DataFrame:
     return keyed.where(listed(F.xxhash64("_at", "_t")))
 
 
-def _repeated(docs: DataFrame, min_words: int, exact_words: int) -> DataFrame:
-    """``h``: hashes of the lines and units that occur more than once."""
+def _shared(docs: DataFrame, min_words: int, exact_words: int) -> DataFrame:
+    """``key, repeats, open``: hashes of lines and units that occur more than once, and halves that different ones share.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def of(batch: pa.RecordBatch):
-            words = Words(texts_of(batch))
-            first, end, number = words.units(min_words)
-            some = end - first >= np.where(number == 0, min(exact_words, min_words), min_words)
-            return (words.hashes(first[some], end[some]),)
-
-        for (h,) in _chunks(batches, of):
-            once, times = np.unique(h, return_counts=True)
-            yield pa.RecordBatch.from_arrays([_signed(np.concatenate([once, once[times > 1]]))], names=["h"])
-
-    return docs.select("text").mapInArrow(run, "h long").groupBy("h").count().where("count > 1").select("h")
-
-
-def _open(docs: DataFrame, repeated: Sketch, min_words: int) -> DataFrame:
-    """``key``: the halves that different lines or units share."""
+    A half goes with the hash of its line as ``name``, so it is open if it has two names; a line's own hash has none.
+    """
     halves = _Halves(min_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def of(batch: pa.RecordBatch):
             words = Words(texts_of(batch))
-            first, end, _ = words.units(min_words)
-            some = end - first >= min_words
+            first, end, number = words.units(min_words)
+            some = end - first >= np.where(number == 0, min(exact_words, min_words), min_words)
             first, end = first[some], end[some]
-            return words.hashes(first, end), *halves.keys(words, first, end)
+            loose = end - first >= min_words
+            keys, there = np.zeros((len(first), 4), np.uint64), np.zeros((len(first), 4), bool)
+            keys[loose], there[loose] = halves.keys(words, first[loose], end[loose])
+            return words.hashes(first, end), keys, there
 
         for h, keys, there in _chunks(batches, of):
-            h, one = np.unique(h, return_index=True)
+            h, one, times = np.unique(h, return_index=True, return_counts=True)
             keys, there = keys[one], there[one]
-            # A line that occurs once needs no name: two of them are two lines.
-            name = pa.array(np.repeat(h.view(np.int64), 4)[there.ravel()], mask=~np.repeat(repeated.may_have(h), 4)[there.ravel()])
-            yield pa.RecordBatch.from_arrays([_signed(keys[there]), name], names=["key", "name"])
+            own = np.concatenate([h, h[times > 1]])
+            key = np.concatenate([own, keys[there]])
+            name = np.concatenate([own, np.repeat(h, 4)[there.ravel()]]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([_signed(key), pa.array(name, mask=np.arange(len(key)) < len(own))], names=["key", "name"])
 
     rows = docs.select("text").mapInArrow(run, "key long, name long")
-    found = rows.groupBy("key").agg(F.count("*").alias("n"), F.count("name").alias("named"), F.min("name").alias("a"), F.max("name").alias("b"))
-    return found.where("n - named > 1 OR (n > named AND named > 0) OR a < b").select("key")
+    found = rows.groupBy("key").agg((F.count_if(F.col("name").isNull()) > 1).alias("repeats"), (F.min("name") < F.max("name")).alias("open"))
+    return found.select("key", "repeats", F.coalesce("open", F.lit(False)).alias("open")).where("repeats OR open")
 
 
 _UNITS = "h long, g long, at long, t long, line long, again boolean, keys array<long>, words binary"
@@ -592,10 +582,8 @@ def _alike(texts: DataFrame, min_words: int) -> DataFrame:
 
 def removals(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, exact_words: int = MIN_WORDS) -> DataFrame:
     """``_at, _t, gone``: the places of the lines and units to remove, for documents that lose any."""
-    repeated = scratch.keep(_repeated(docs, min_words, exact_words), "repeated")
-    repeats = Sketch(repeated)
-    scratch.drop(repeated)
-    open_ = scratch.keep(_open(docs, repeats, min_words), "open")
+    shared = scratch.keep(_shared(docs, min_words, exact_words), "shared")
+    repeats, open_ = Sketch(shared.where("repeats").select("key")), shared.where("open").select("key")
     rows = scratch.keep(_units(docs, repeats, Sketch(open_), min_words, exact_words), "units")
     texts = scratch.keep(_candidates(rows, open_), "candidates")
     alike = _alike(texts, min_words)
@@ -605,7 +593,7 @@ def removals(docs: DataFrame, scratch: Scratch, min_words: int = MIN_WORDS, exac
     every = alike.unionByName(copies.where("again").select(*_OWN)).unionByName(later.select(*_OWN))
     gone = every.groupBy(F.col("at").alias("_at"), F.col("t").alias("_t")).agg(F.collect_set("line").alias("gone"))
     gone = scratch.keep(gone, "gone")
-    scratch.drop(open_, rows, texts)
+    scratch.drop(shared, rows, texts)
     return gone
 
 
