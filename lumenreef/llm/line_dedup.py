@@ -74,19 +74,20 @@ def line_words(line: bytes) -> list[bytes]:
 
 _STOPS, _QUOTES = (b".", b"!", b"?", "…".encode(), "。".encode()), (b'"', b"'", b")", "”".encode(), "»".encode())
 _ENDS = tuple(e + q for e in _STOPS for q in (b"", *_QUOTES))
+_END_BYTES = frozenset(e[-1] for e in _ENDS)
 
 
-def cuts(n: int, ends: Iterable[int], chosen: Callable[[int], bool], min_words: int = MIN_WORDS) -> list[int]:
-    """Where the units of a line of ``n`` words end; none if the line is one unit.
+def cuts(start: int, stops: Iterable[int], chosen: Callable[[int], bool], min_words: int = MIN_WORDS) -> list[int]:
+    """Where the units of a line end whose first word is word ``start``; none if the line is one unit.
 
-    ``ends`` are the word counts at sentence ends, ``chosen(k)`` tells whether word ``k`` (from 0)
+    ``stops`` are the ends of its sentences and, last, its own; ``chosen(k)`` tells whether word ``k``
     is chosen for a cut. A unit ends with the first sentence that gives it ``min_words`` words, so two
     lines that hold one passage are cut alike after its first sentence of that length.
     A shorter rest belongs to the last unit.
     """
     found: list[int] = []
-    start = 0
-    for end in (*ends, n):
+    end = start
+    for end in stops:
         while end - start > UNIT_WORDS:
             stop = min(end, start + 2 * UNIT_WORDS - min_words)
             start = next((k for k in range(start + UNIT_WORDS, stop) if chosen(k - 1)), stop)
@@ -95,15 +96,15 @@ def cuts(n: int, ends: Iterable[int], chosen: Callable[[int], bool], min_words:
             found.append(end)
             start = end
     if len(found) > 1:
-        found[-1] = n
+        found[-1] = end
         return found
     return []
 
 
 def units(words: Sequence[bytes], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """First and end word of each unit of a line; none if the line is one unit."""
-    ends = [k for k, w in enumerate(words, 1) if w.endswith(_ENDS)]
-    found = cuts(len(words), ends, lambda k: zlib.crc32(words[k]) % CUT_EVERY == 0, min_words)
+    ends = [k for k, w in enumerate(words, 1) if w[-1] in _END_BYTES and w.endswith(_ENDS)]
+    found = cuts(0, [*ends, len(words)], lambda k: zlib.crc32(words[k]) % CUT_EVERY == 0, min_words)
     return list(zip([0, *found], found))
 
 
@@ -193,7 +194,7 @@ _FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LAST_BYTES = np.zeros(256, bool)
-_LAST_BYTES[[x[-1] for x in (*_STOPS, *_QUOTES)]] = True
+_LAST_BYTES[list(_END_BYTES)] = True
 
 
 class Words:
@@ -282,11 +283,16 @@ class Words:
         f, e, u = [], [], []
         some = np.flatnonzero((sizes >= 2 * min_words) & ((highs > lows) | (sizes > UNIT_WORDS)))
         listed = stops.tolist()
+
+        def chosen(k: int) -> bool:
+            return zlib.crc32(self.raw[self.start[k] : self.end[k]]) % CUT_EVERY == 0
+
         for head, tail, low, high in zip(*(x[some].tolist() for x in (heads, tails, lows, highs))):
-            found = cuts(tail - head, [s - head for s in listed[low:high]], lambda k: zlib.crc32(self.raw[self.start[head + k] : self.end[head + k]]) % CUT_EVERY == 0, min_words)
+            found = cuts(head, [*listed[low:high], tail], chosen, min_words)
             if found:
-                f += [head, *(head + c for c in found[:-1])]
-                e += [head + c for c in found]
+                f.append(head)
+                f += found[:-1]
+                e += found
                 u += range(1, len(found) + 1)
         first.append(np.array(f, np.int64))
         end.append(np.array(e, np.int64))
@@ -515,7 +521,8 @@ def _candidates(units: DataFrame, open_: DataFrame) -> DataFrame:
     near = units.where("words IS NOT NULL")
     keys = near.select("h", "g", F.posexplode("keys").alias("k", "key")).where("key <> 0").distinct()
     masks = keys.join(open_, "key", "left_semi").groupBy("h", "g").agg(F.bit_or(F.expr("shiftleft(1, k)")).alias("mask"))
-    texts = near.groupBy("h", "g").agg(F.min(_place()).alias("own"), F.min("words").alias("words"))
+    # A chunk has one row for each text, so the long rows need no sort before they are shuffled.
+    texts = near.select("h", "g", *_OWN, "words").repartition("h", "g").groupBy("h", "g").agg(F.min(_place()).alias("own"), F.min("words").alias("words"))
     return texts.join(masks, ["h", "g"]).select("own.*", "words", "mask")
 
 
@@ -561,7 +568,8 @@ def _variants(texts: DataFrame, min_words: int) -> DataFrame:
 
 def _alike(texts: DataFrame, min_words: int) -> DataFrame:
     """``at, t, line`` of the ``texts`` that have an earlier one within one edit."""
-    rows = _variants(texts, min_words).withColumn("own", _place())
+    # One sort serves both windows.
+    rows = _variants(texts, min_words).repartition("v", "w").sortWithinPartitions("v", "w", "i").withColumn("own", _place())
     key, same = W.partitionBy("v", "w"), W.partitionBy("v", "w", "i")
     itself = F.min(F.when(F.col("i") < 0, F.col("own"))).over(key)
     met = F.when(F.col("i") < 0, F.min("own").over(key)).otherwise(F.least(F.min("own").over(same), itself))
