@@ -48,8 +48,10 @@ def cut_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group (five-word shingles, similarity 0.8).
+    """The document with the smallest id of each near-duplicate group.
 
+    Candidates come from op5's SimHash groups, and from MinHash bands, which hold the alike texts beyond its 4 bits;
+    links are those whose sets of five-word shingles have a similarity of 0.8 or more.
     Null and empty texts are one group. Rows without doc_id all stay, and rows that share a kept doc_id.
     """
     return near_dedup.keep_representatives(_columns(docs))

@@ -1,11 +1,13 @@
-"""Near-duplicates by the similarity of their sets of word shingles.
+"""Near-duplicates by SimHash and MinHash, checked on the exact sets of word shingles.
 
 Two texts are alike if the Jaccard similarity of their sets of five-word shingles is
-0.8 or more. Candidates come from MinHash bands: of two such texts at least one of
-``BANDS`` bands of ``ROWS`` minima agrees with probability 1 - (1 - 0.8 ** 5) ** 20 =
-0.9996, and more above 0.8. Every candidate is then compared on the exact sets, so no
-pair below the bound is linked. All work is on distinct sets; texts with equal sets
-join their class by equality.
+0.8 or more. Candidates share a band. A group of SimHash fingerprints that links of few
+differing bits connect (``simhash.groups``, by multi-index hashing) is a band. As two alike
+texts can differ in more bits than it looks up (some 10 of 64 at 0.8), MinHash adds bands:
+at least one of ``BANDS`` bands of ``ROWS`` minima agrees with probability
+1 - (1 - 0.8 ** 5) ** 20 = 0.9996, and more above 0.8. Every candidate is then compared on
+the exact sets, so no pair below the bound is linked. All work is on distinct sets; texts
+with equal sets join their class by equality.
 
 Each set is first compared with the smallest of each of its bands only. Where that leaves
 a band with several components, its sets meet in one task, or, if they are many, in a task
@@ -24,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumenreef.llm import simhash
 from lumenreef.llm._arrow import slices, texts_of
 from lumenreef.llm._graph import Forest, components
 from lumenreef.llm._scratch import Scratch
@@ -83,16 +86,29 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id, cls, keys``: the set's name and band keys, a row for each document."""
+    """``doc_id, cls, fp, keys``: the set's name, the SimHash fingerprint and the set's band keys, a row for each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [shingles(t) for t in texts_of(batch)]
+            texts = texts_of(batch)
+            sets = [shingles(t) for t in texts]
             names = pa.array([class_of(s) for s in sets], pa.int64())
+            prints = pa.array(np.array([simhash.fingerprint(t) for t in texts], np.uint64).view(np.int64))
             keys = pa.array([band_keys(s).view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), names, keys], names=["doc_id", "cls", "keys"])
+            columns = [batch.column("doc_id").cast(pa.int64()), names, prints, keys]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "cls", "fp", "keys"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, cls long, fp long, keys array<long>")
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, cls long, keys array<long>")
+def _simhash_bands(prints: DataFrame, scratch: Scratch) -> DataFrame:
+    """``cls, key``: a key for each group of linked fingerprints in ``prints(cls, fp)``, with all sets that have one of them."""
+    fps = scratch.keep(prints.select("fp").distinct(), "fingerprints")
+    found = prints.select("cls", "fp").distinct().join(simhash.groups(fps), "fp", "left")
+    key = F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key")
+    bands = scratch.keep(found.select("cls", key).distinct(), "simhash-bands")
+    scratch.drop(fps)
+    return bands
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -214,7 +230,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession)
     prints = scratch.keep(_sketches(docs.where("doc_id IS NOT NULL")), "sketches")
     classes = scratch.keep(prints.groupBy("cls").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys")), "classes")
-    keys = classes.select("cls", F.explode("keys").alias("key"))
+    groups = _simhash_bands(prints, scratch)
+    keys = classes.select("cls", F.explode("keys").alias("key")).unionByName(groups)
     firsts = keys.groupBy("key").agg(F.min("cls").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first")
     bands = scratch.keep(keys.join(firsts, "key"), "bands")
     wanted = classes.join(bands.select("cls").distinct(), "cls", "left_semi").select("cls", F.col("low").alias("doc_id"))
@@ -230,7 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not more.isEmpty():
         first, roots = roots, scratch.keep(components(links.unionByName(more)), "roots")
         scratch.drop(first)
-    scratch.drop(bands, sets, links, held, more)
+    scratch.drop(groups, bands, sets, links, held, more)
 
     rooted = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     rooted = rooted.select("cls", "low", F.coalesce("root", "cls").alias("root"))

@@ -209,6 +209,17 @@ def links(fps: DataFrame, radius: int = RADIUS, layout: Layout | None = None, sc
     return parts.mapInArrow(_verify(radius), "a long, b long")
 
 
+def groups(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``fp, root`` for each fingerprint that has a link; root is the smallest fingerprint reachable.
+
+    ``fps`` has one row for each distinct ``fp`` and is read more than once.
+    """
+    scratch = Scratch(fps.sparkSession)
+    roots = components(scratch.keep(links(fps, radius, scratch=scratch), "links"))
+    scratch.clear()
+    return roots.withColumnRenamed("node", "fp")
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``doc_id, fp, component_id`` for each document; component_id is the smallest doc_id reachable.
 
@@ -218,10 +229,7 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     prints = materialise(fingerprints(docs), "fingerprints")
     classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
-    scratch = Scratch(docs.sparkSession)
-    roots = components(scratch.keep(links(classes, radius, scratch=scratch), "links"))
-    scratch.clear()
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = classes.join(groups(classes, radius), "fp", "left")
     rooted = rooted.select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lowest, "root").select("fp", "component_id")

@@ -5,7 +5,7 @@ import random
 import corpus_pipeline
 import numpy as np
 import pytest
-from lumenreef.llm import near_dedup
+from lumenreef.llm import near_dedup, simhash
 from pyspark.sql import functions as F
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -119,3 +119,24 @@ def test_one_band_of_unlike_texts(spark, monkeypatch):
         want[ids[k]] = want[ids[k + 1]] = low
     want |= {i: i for i in ids[4_800:]}
     assert got == want
+
+
+def test_groups_of_fingerprints_are_bands(spark, monkeypatch):
+    """Without MinHash bands the stage finds what SimHash links within 4 bits, checked on the exact sets."""
+    rng = random.Random(21)
+    texts = [None, "", "a b c"]
+    for _ in range(60):
+        texts += texts_at(rng, 0.01)
+    texts += ["x " * n for n in (30, 40, 50)]  # one set and one shingle, repeated
+    # One fingerprint whose sets differ: the exact check keeps them apart.
+    many = [f"m{k}" for k in range(7)]
+    texts += [" ".join(many * 400), " ".join(many * 400 + [f"z{k}" for k in range(12)])]
+    plain = near_dedup._sketches
+    monkeypatch.setattr(near_dedup, "_sketches", lambda docs: plain(docs).withColumn("keys", F.array().cast("array<long>")))
+    prints, sets = [simhash.fingerprint(t or "") for t in texts], [shingle_set(t) for t in texts]
+    assert (prints[-1] ^ prints[-2]).bit_count() <= 4 and similarity(sets[-1], sets[-2]) < 0.8
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if sets[i] == sets[j] or (prints[i] ^ prints[j]).bit_count() <= 4]
+    links = [(i, j) for i, j in links if similarity(sets[i], sets[j]) >= 0.8]
+    alike = sum(sets[i] != sets[j] for i, j in links)
+    assert alike > 10
+    assert stage(spark, texts) == {k for k, r in enumerate(joined(len(texts), links)) if k == r}
