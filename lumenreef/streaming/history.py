@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pandas as pd
@@ -29,52 +30,61 @@ def with_proposals(rows: DataFrame, proposals: DataFrame, time: str = "ts", wait
     return left.join(right, same & in_time, "left").drop("_run", "_at", "_time")
 
 
+#: Rows that leave together, as one text.
+OUT_ROWS = 10_000
+#: Keys of the state, over which runs are dealt.
+BUCKETS = 4096
+
+
 class InOrder(StatefulProcessor):
     """Holds the rows of a run back until the watermark passes them, then hands them on in the order of iterations.
 
-    Rows may arrive in any order, as long as they are not behind the watermark (those are dropped). A run has one timer for
-    the earliest row it holds, and rows leave its list with the watermark that passed them. Subclasses say what is done
-    with rows in order. Their ``value`` is text, as pandas makes floats of numbers that stand beside a null.
+    Rows may arrive in any order, as long as they are not behind the watermark (those are dropped). Runs are dealt over ``BUCKETS``; a bucket
+    has one timer for the earliest row it holds, and rows leave its list with the watermark that passed them. Subclasses say
+    what is done with a run's rows in order. Rows enter, wait and leave as JSON, many in a text, as a state call, a frame
+    or a conversion for each row or run takes longer than the work on it.
     """
 
-    #: Type of the state carried from row to row.
+    #: Type of the state of a run, carried from row to row.
     state: T.StructType
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        held = [T.StructField("iteracion", T.LongType()), T.StructField("ms", T.LongType()), T.StructField("value", T.StringType())]
         self._handle = handle
-        self._held = handle.getListState("held", T.StructType(held))
-        self._state = handle.getValueState("state", self.state)
+        self._held = handle.getListState("parts", T.StructType([T.StructField("rows", T.StringType())]))
+        self._state = handle.getMapState("runs", T.StructType([T.StructField("run_id", T.LongType())]), self.state)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         first = None
         for part in rows:
-            listed = list(zip(part["iteracion"].tolist(), part["ms"].tolist(), part["value"].tolist()))
-            self._held.appendList(listed)
-            first = min(ms for _, ms, _ in listed) if first is None else min(first, *(ms for _, ms, _ in listed))
+            self._held.appendValue((f"[{','.join(part['row'].tolist())}]",))
+            ms = min(part["ms"].tolist())
+            first = ms if first is None else min(first, ms)
         if first is not None:
             self._handle.registerTimer(first)
         return iter(())
 
     def handleExpiredTimer(self, key: tuple, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        held = list(self._held.get()) if self._held.exists() else []
-        due = sorted((row for row in held if row[1] <= now), key=lambda row: row[0])
-        later = [tuple(row) for row in held if row[1] > now]
+        held = [row for (part,) in self._held.get() for row in json.loads(part)]
+        due = sorted((row for row in held if row[2] <= now), key=lambda row: row[:2])
+        later = [row for row in held if row[2] > now]
         if not due:
             return
         if later:
-            self._held.put(later)
-            self._handle.registerTimer(min(ms for _, ms, _ in later))
+            self._held.put([(json.dumps(later[k : k + OUT_ROWS]),) for k in range(0, len(later), OUT_ROWS)])
+            self._handle.registerTimer(min(row[2] for row in later))
         else:
             self._held.clear()
-        state = tuple(self._state.get()) if self._state.exists() else None
-        state, out = self.advance(key, state, due)
-        self._state.update(state)
-        yield out
-
-    def advance(self, key: tuple, state: tuple | None, rows: list[tuple]) -> tuple[tuple, pd.DataFrame]:
-        """The state after ``rows`` of ``(iteracion, ms, value)`` in order, and the rows to put out."""
+        out: list[dict] = []
+        for run, rows in itertools.groupby(due, key=lambda row: row[0]):
+            state, put = self.advance(self._state.getValue((run,)), rows)
+            self._state.updateValue((run,), state)
+            out += put
+        for k in range(0, len(out), OUT_ROWS):
+            yield pd.DataFrame({"rows": [json.dumps(out[k : k + OUT_ROWS])]})
+
+    def advance(self, state: tuple | None, rows: Iterable[list]) -> tuple[tuple, list[dict]]:
+        """The state after ``rows`` of ``[run_id, iteracion, ms, value]`` of a run in order, and the rows to put out, by name."""
         raise NotImplementedError
 
     def close(self) -> None:
@@ -82,16 +92,19 @@ class InOrder(StatefulProcessor):
 
 
 def _in_order(rows: DataFrame, value: Column, processor: InOrder, out: str, time: str, late: str) -> DataFrame:
-    """``processor`` over ``rows`` by run; times are rounded up, so a row is passed only when its whole millisecond is.
+    """``processor`` over ``rows`` by run, with the JSON ``value``; times are rounded up, so a row is passed only when its whole millisecond is.
 
-    Rows without run or iteration are left out.
+    Rows without run, iteration or time are left out.
     """
-    ms = F.ceil(F.unix_micros(time) / 1000).cast("bigint").alias("ms")
-    held = rows.withWatermark(time, late).select("run_id", "iteracion", time, ms, value.cast("string").alias("value"))
-    held = held.where("run_id IS NOT NULL AND iteracion IS NOT NULL")
-    return held.groupBy("run_id").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=f"run_id bigint, {out}", outputMode="Append", timeMode="EventTime"
+    ms = F.ceil(F.unix_micros(time) / 1000).cast("bigint")
+    row = F.concat(F.lit("["), F.concat_ws(",", F.col("run_id").cast("bigint"), F.col("iteracion").cast("bigint"), ms, F.coalesce(value.cast("string"), F.lit("null"))), F.lit("]"))
+    held = rows.withWatermark(time, late).where(F.col("run_id").isNotNull() & F.col("iteracion").isNotNull() & F.col(time).isNotNull())
+    bucket = F.pmod(F.xxhash64(F.col("run_id").cast("bigint")), F.lit(BUCKETS)).alias("bucket")
+    held = held.select(bucket, time, ms.alias("ms"), row.alias("row"))
+    packed = held.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=processor, outputStructType="rows string", outputMode="Append", timeMode="EventTime"
     )
+    return packed.select(F.inline(F.from_json("rows", f"array<struct<run_id: bigint, {out}>>", {"mode": "FAILFAST"})))
 
 
 class BestInOrder(InOrder):
@@ -99,13 +112,13 @@ class BestInOrder(InOrder):
 
     state = T.StructType([T.StructField("best", T.LongType())])
 
-    def advance(self, key: tuple, state: tuple | None, rows: list[tuple]) -> tuple[tuple, pd.DataFrame]:
+    def advance(self, state: tuple | None, rows: Iterable[list]) -> tuple[tuple, list[dict]]:
         best, out = (state or (0,))[0], []
-        for iteration, _, value in rows:
-            if value is not None and int(value) > best:
-                best = int(value)
-                out.append((key[0], iteration, best))
-        return (best,), pd.DataFrame(out, columns=["run_id", "iteracion", "score"])
+        for run, iteration, _, value in rows:
+            if value is not None and value > best:
+                best = value
+                out.append({"run_id": run, "iteracion": iteration, "score": best})
+        return (best,), out
 
 
 def new_best(rows: DataFrame, time: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -114,7 +127,7 @@ def new_best(rows: DataFrame, time: str = "ts", late: str = "10 minutes") -> Dat
     Iterations of a run follow each other in event time. A row comes out once the watermark passes it; a row
     behind the watermark is dropped. A null score is no best.
     """
-    return _in_order(rows, F.col("score"), BestInOrder(), "iteracion bigint, score bigint", time, late)
+    return _in_order(rows, F.col("score"), BestInOrder(), "iteracion: bigint, score: bigint", time, late)
 
 
 def after(config: tuple, effect: dict) -> tuple:
@@ -134,13 +147,13 @@ class ConfigInOrder(InOrder):
 
     state = T.StructType([*[T.StructField(n, T.LongType()) for n in policy.NUMBERS], T.StructField("priorizar_paises", T.ArrayType(T.StringType()))])
 
-    def advance(self, key: tuple, state: tuple | None, rows: list[tuple]) -> tuple[tuple, pd.DataFrame]:
-        config = state or (policy.MAX_EVENTS[0], policy.SEARCHES[0], policy.TIMEOUT[0], [])
+    def advance(self, state: tuple | None, rows: Iterable[list]) -> tuple[tuple, list[dict]]:
+        config = tuple(state or (policy.MAX_EVENTS[0], policy.SEARCHES[0], policy.TIMEOUT[0], []))
         out = []
-        for iteration, _, effect in rows:
-            out.append((key[0], iteration, *config[:3], list(config[3])))
-            config = after(config, json.loads(effect))
-        return config, pd.DataFrame(out, columns=["run_id", "iteracion", *policy.NUMBERS, "priorizar_paises"])
+        for run, iteration, _, effect in rows:
+            out.append({"run_id": run, "iteracion": iteration, **dict(zip((*policy.NUMBERS, "priorizar_paises"), config))})
+            config = after(config, effect)
+        return config, out
 
 
 def trajectory(rows: DataFrame, enricher: bool = False, time: str = "ts", late: str = "10 minutes") -> DataFrame:
@@ -148,7 +161,8 @@ def trajectory(rows: DataFrame, enricher: bool = False, time: str = "ts", late:
 
     ``rows`` has run_id, iteracion, respuesta, eventos, organizadores and the event time, arrives in any order, and is handed
     on as in ``new_best``. The state of a run is its configuration and the rows that the watermark has not passed.
+    Checkpoints of the layout with a key for each run are not read.
     """
     effects = policy.steps(rows, enricher, time)
-    out = "iteracion bigint, max_eventos bigint, busquedas_facebook bigint, timeout bigint, priorizar_paises array<string>"
+    out = "iteracion: bigint, max_eventos: bigint, busquedas_facebook: bigint, timeout: bigint, priorizar_paises: array<string>"
     return _in_order(effects, F.to_json("effect"), ConfigInOrder(), out, time, late)

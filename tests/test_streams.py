@@ -1,9 +1,11 @@
 """Streams over several micro-batches: joins with late and missing rows, any order of arrival, restarts."""
 
+import json
 import random
 import time
 from datetime import UTC, datetime
 
+import pandas as pd
 import pytest
 from lumenreef.functions import policy
 from lumenreef.operators import history
@@ -122,3 +124,49 @@ def test_configurations_on_a_stream_and_after_a_restart(spark, tmp_path, enriche
     # Over all batches each run's steps came out in order.
     spans = put.groupBy("run_id", "batch").agg({"iteracion": "min"}).collect()
     assert all((a[1] < b[1]) == (a[2] < b[2]) for a in spans for b in spans if a.run_id == b.run_id and a.batch != b.batch)
+
+
+def test_state_calls_follow_texts_and_runs_not_rows():
+    """2,000 rows of 4 runs that share a bucket: a state call for each text and run, none for each row."""
+    calls, stored = [], {"runs": {}, "parts": []}
+
+    class State:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, call):
+            def done(*args):
+                calls.append(call)
+                if call == "appendValue":
+                    stored["parts"].append(args[0])
+                if call == "updateValue":
+                    stored["runs"][args[0]] = args[1]
+                return {"getValue": stored["runs"].get(args[0]) if args else None, "get": iter(stored["parts"])}.get(call)
+
+            return done
+
+    class Handle:
+        getListState = getMapState = lambda self, name, *_: State(name)
+
+        def registerTimer(self, ms):
+            calls.append(ms)
+
+    class Watermark:
+        def getCurrentWatermarkInMs(self):
+            return 10**6
+
+    rng = random.Random(4)
+    rows = [(k % 4, k // 4, k, rng.randrange(1000)) for k in range(2000)]
+    rng.shuffle(rows)
+    best = streams.BestInOrder()
+    best.init(Handle())
+    frame = pd.DataFrame({"ms": [r[2] for r in rows], "row": [f"[{','.join(map(str, r))}]" for r in rows]})
+    best.handleInputRows((0,), iter([frame]), None)
+    out = [r for part in best.handleExpiredTimer((0,), Watermark(), None) for text in part["rows"] for r in json.loads(text)]
+    want = []
+    for run in range(4):
+        top = 0
+        for _, at, _, score in sorted(r for r in rows if r[0] == run):
+            if score > top:
+                want.append({"run_id": run, "iteracion": at, "score": (top := score)})
+    assert out == want and len(calls) <= 2 * 4 + 4
