@@ -33,6 +33,8 @@ CERTAINTY = 0.85
 WIDEN, FIRST = 1.07, 0.4
 #: Steps after which the windows are wider than any projection (0.4 * 1.07 ** 80 is over 80 lengths).
 LEVELS = 80
+#: Share of the queries that may stop before the level at which a query starts; these are walked again from the narrowest window.
+EARLY = 0.05
 #: Vectors of an index block and queries of a query block, on average.
 BLOCK_ROWS, QUERY_ROWS = 16384, 512
 
@@ -73,6 +75,7 @@ class BlockIndex:
         self.sorted = np.take_along_axis(values, self.order, axis=1)
         self.reach = needed_width()
         self.verified = 0  # inner products so far
+        self.stops = np.zeros(LEVELS, np.int64)  # searches that stopped at each level
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each query its id, and ids and scores of the best ``k`` verified vectors.
@@ -81,14 +84,14 @@ class BlockIndex:
         widths, so a window's ends are looked up once for a projection and all queries.
         """
         centres = (self.directions[:, :-1] @ (queries / self.scale).T).astype(np.float32)
-        ends: list[tuple[np.ndarray, np.ndarray]] = []
+        ends: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
         def window(level: int) -> tuple[float, np.ndarray, np.ndarray]:
             width = FIRST * self.length * WIDEN**level
-            if level == len(ends):
+            if level not in ends:
                 low = np.stack([np.searchsorted(row, c - np.float32(width), "left") for row, c in zip(self.sorted, centres)], axis=1)
                 high = np.stack([np.searchsorted(row, c + np.float32(width), "right") for row, c in zip(self.sorted, centres)], axis=1)
-                ends.append((low, high))
+                ends[level] = low, high
             return width, *ends[level]
 
         for number, (query_id, query) in enumerate(zip(query_ids.tolist(), queries)):
@@ -99,36 +102,51 @@ class BlockIndex:
         unit = query / self.scale
         square = float(unit @ unit) + self.length**2
         slack = 1e-14 * len(query) * self.length * math.sqrt(square)  # more than rounding can change
-        counts = np.zeros(n, np.int64)
-        todo = self.ids != query_id
-        rows, scores = np.empty(0, np.int64), np.empty(0)
-        before = None
-        for level in range(LEVELS):
-            width, low, high = window(level)
-            now = low[number].tolist(), high[number].tolist()
-            if before is None:
-                new = [o[a:b] for o, a, b in zip(self.order, *now)]
-            else:
-                new = [x for o, a, b, a0, b0 in zip(self.order, *now, *before) for x in (o[a:a0], o[b0:b]) if len(x)]
-            before = now
-            if new:
-                counts += np.bincount(np.concatenate(new), minlength=n)
-            met = np.flatnonzero((counts >= THRESHOLD) & todo)
-            todo[met] = False
-            self.verified += len(met)
-            found = (self.vectors[met] / self.scale) @ unit
-            if len(rows) >= k:  # most of the new ones are no better than the worst held
-                better = found >= np.partition(scores, -k)[-k] - slack
-                met, found = met[better], found[better]
-            rows, scores = np.concatenate([rows, met]), np.concatenate([scores, found])
-            if len(rows) >= k:
-                worst = np.partition(scores, -k)[-k]
-                near = scores >= worst - slack
-                rows, scores = rows[near], scores[near]
-                if width >= self.reach * math.sqrt(max(0.0, square - 2 * float(worst))):
+        known = np.full(n, np.nan)  # scores of verified vectors
+
+        def walk(start: int) -> tuple[np.ndarray, int]:
+            """Rows of the best verified vectors at the level that ends the search, and that level; levels before ``start`` are passed over."""
+            counts = np.zeros(n, np.int64)
+            todo = self.ids != query_id
+            rows, scores = np.empty(0, np.int64), np.empty(0)
+            before = None
+            for level in range(start, LEVELS):
+                width, low, high = window(level)
+                now = low[number].tolist(), high[number].tolist()
+                if before is None:
+                    new = [o[a:b] for o, a, b in zip(self.order, *now)]
+                else:
+                    new = [x for o, a, b, a0, b0 in zip(self.order, *now, *before) for x in (o[a:a0], o[b0:b]) if len(x)]
+                before = now
+                if new:
+                    counts += np.bincount(np.concatenate(new), minlength=n)
+                met = np.flatnonzero((counts >= THRESHOLD) & todo)
+                todo[met] = False
+                fresh = met[np.isnan(known[met])]
+                self.verified += len(fresh)
+                known[fresh] = (self.vectors[fresh] / self.scale) @ unit
+                found = known[met]
+                if len(rows) >= k:  # most of the new ones are no better than the worst held
+                    better = found >= np.partition(scores, -k)[-k] - slack
+                    met, found = met[better], found[better]
+                rows, scores = np.concatenate([rows, met]), np.concatenate([scores, found])
+                if len(rows) >= k:
+                    worst = np.partition(scores, -k)[-k]
+                    near = scores >= worst - slack
+                    rows, scores = rows[near], scores[near]
+                    if width >= self.reach * math.sqrt(max(0.0, square - 2 * float(worst))):
+                        break
+                if min(now[1]) == n and not max(now[0]):  # all windows hold all vectors
                     break
-            if min(now[1]) == n and not max(now[0]):  # all windows hold all vectors
-                break
+            return rows, level
+
+        # Wider windows only find more and better vectors, so a search that goes on after a level goes on after all before it.
+        done = np.cumsum(self.stops)
+        start = max(0, int(np.searchsorted(done, EARLY * done[-1], "right")) - 1) if done[-1] else 0
+        rows, level = walk(start)
+        if level == start > 0:
+            rows, level = walk(0)
+        self.stops[level] += 1
         exact = scores_of(self.vectors[rows], query)
         best = np.lexsort((self.ids[rows], -exact))[:k]
         return self.ids[rows[best]], exact[best]

@@ -80,3 +80,24 @@ def test_recall_and_share_of_verified_vectors(name, share, every):
         hits += len({i for _, i in sorted(found[int(ids[q])])[:20]} & set(ids[np.argsort(-scores)[:20]].tolist()))
     recall, part = hits / (20 * len(queries)), verified / (len(queries) * len(v))
     assert recall >= 0.9 and part <= share, (recall, part)
+
+
+def test_levels_before_the_usual_stop_are_passed_over(monkeypatch):
+    """Answers do not depend on the level a query starts from, and counting takes few levels of windows a query."""
+    ids, v = table("sf0.1")
+    v = np.concatenate([v, v[:40] * 0.1, np.repeat(v[:1], 40, axis=0)])  # some queries stop much earlier or later
+    ids = np.arange(len(v))
+    scale = np.abs(v).max()
+    length = float(np.sqrt(((v / scale) ** 2).sum(1).max()))
+    queries = np.flatnonzero(ids % 5 == 0)
+    make = lambda: ann_search.BlockIndex(ids, v, scale, length)
+    alone, steps = [], []
+    index = make()
+    for q in queries[:60]:
+        index.stops = np.zeros(ann_search.LEVELS, np.int64)  # as if it were the first
+        alone += [(i, a.tolist(), b.tolist()) for i, a, b in index.search(ids[[q]], v[[q]], 20)]
+    plain = np.bincount
+    monkeypatch.setattr(ann_search.np, "bincount", lambda *a, **k: steps.append(1) or plain(*a, **k))
+    found = [(i, a.tolist(), b.tolist()) for i, a, b in make().search(ids[queries], v[queries], 20)]
+    assert found[:60] == alone
+    assert len(steps) < 6 * len(queries), len(steps) / len(queries)
